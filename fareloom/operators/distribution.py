@@ -37,7 +37,9 @@ def value_bin(value: Column) -> Column:
     the whole range of a double, and well under 200 for fares and minutes.
     """
     steps = F.floor(F.log2(F.abs(value) + 1) * 16).cast("bigint")
-    return F.when(value < 0, -steps).otherwise(steps)
+    # Stated as never null, so that no null filter creeps into one of the uses
+    # of the counts and keeps their shuffle from being shared.
+    return F.coalesce(F.when(value < 0, -steps).otherwise(steps), F.lit(0).cast("bigint"))
 
 
 def summary(counts: DataFrame) -> DataFrame:

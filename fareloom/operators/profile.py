@@ -115,8 +115,7 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     wide = df.agg(
         F.count(F.lit(1)).alias("n_checked"),
         *(
-            F.count_if(~F.coalesce(rule.keep(), F.lit(False))).alias(f"failed_{rule.name}")
-            for rule in rules
+            F.expr(f"count_if({rule.failed}) AS failed_{rule.name}") for rule in rules
         ),
     )
     return to_rows(

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,42 +24,34 @@ from fareloom.functions.calendar import minutes_between
 
 @dataclass(frozen=True)
 class Rule:
-    """A named condition for keeping a row. Null counts as not met."""
+    """A named condition for keeping a row, as SQL. Null counts as not met."""
 
     name: str
-    keep: Callable[[], Column]
+    sql: str
 
-
-def filled(name: str, *columns: str) -> Rule:
-    return Rule(name, lambda: reduce(and_, (F.col(c).isNotNull() for c in columns)))
-
-
-def at_least(name: str, column: str, low: float) -> Rule:
-    return Rule(name, lambda: F.col(column) >= low)
+    @property
+    def failed(self) -> str:
+        return f"NOT coalesce({self.sql}, false)"
 
 
-def at_most(name: str, column: str, high: float) -> Rule:
-    return Rule(name, lambda: F.col(column) <= high)
+def filled(name: str, *columns: str) -> Rule:
+    return Rule(name, " AND ".join(f"{column} IS NOT NULL" for column in columns))
 
 
 def within(name: str, column: str, bound: Bound) -> Rule:
-    return Rule(name, lambda: F.col(column).between(bound.low, bound.high))
-
-
-def ordered(name: str, first: str, second: str) -> Rule:
-    return Rule(name, lambda: F.col(first) <= F.col(second))
+    return Rule(name, f"{column} BETWEEN {bound.low} AND {bound.high}")
 
 
 def or_null(rule: Rule, column: str) -> Rule:
     """The same rule, met by a null in `column` too."""
-    return Rule(rule.name, lambda: F.col(column).isNull() | rule.keep())
+    return Rule(rule.name, f"{column} IS NULL OR ({rule.sql})")
 
 
 def bronze_rules(bounds: Mapping[str, Bound] = BOUNDS) -> list[Rule]:
     return [
         filled("not_null", PICKUP, DROPOFF, AMOUNT),
-        at_least("non_negative", AMOUNT, bounds[AMOUNT].low),
-        ordered("time_order", PICKUP, DROPOFF),
+        Rule("non_negative", f"{AMOUNT} >= {bounds[AMOUNT].low}"),
+        Rule("time_order", f"{PICKUP} <= {DROPOFF}"),
         or_null(within("passenger_range", PASSENGERS, bounds[PASSENGERS]), PASSENGERS),
     ]
 
@@ -70,9 +60,9 @@ def silver_rules(
     bounds: Mapping[str, Bound] = BOUNDS, minutes: Bound = DURATION_BOUND
 ) -> list[Rule]:
     return [
-        at_most("amount_cap", AMOUNT, bounds[AMOUNT].high),
+        Rule("amount_cap", f"{AMOUNT} <= {bounds[AMOUNT].high}"),
         within("duration_range", DURATION, minutes),
-        or_null(at_most("distance_cap", DISTANCE, bounds[DISTANCE].high), DISTANCE),
+        or_null(Rule("distance_cap", f"{DISTANCE} <= {bounds[DISTANCE].high}"), DISTANCE),
     ]
 
 
@@ -92,14 +82,13 @@ def applicable(rules: Sequence[Rule], df: DataFrame) -> list[Rule]:
 
 def keep_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that meet every rule: one conjunctive filter, pushed to the scan."""
-    return df.filter(reduce(and_, (rule.keep() for rule in rules)))
+    return df.filter(" AND ".join(f"({rule.sql})" for rule in rules))
 
 
 def failed_rules(rules: Sequence[Rule]) -> Column:
     """Names of the rules a row fails, as an array."""
-    return F.array_compact(
-        F.array(*(F.when(~F.coalesce(r.keep(), F.lit(False)), F.lit(r.name)) for r in rules))
-    )
+    names = ", ".join(f"CASE WHEN {rule.failed} THEN '{rule.name}' END" for rule in rules)
+    return F.expr(f"array_compact(array({names}))")
 
 
 def rejected_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -5,23 +5,28 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareloom.contract import CONTRACT, FLEET, FLEETS, REQUIRED, Fleet
 
 
-def conform(df: DataFrame, name: str) -> Column:
-    """A column cast to its contract type.
+def conform(df: DataFrame, names: Iterable[str]) -> list[str]:
+    """SQL that selects contract columns in their contract types.
 
     Zoned and zoneless timestamps both pass as they are: a cast between them
     would move trips across a daylight saving change.
     """
-    kind = next(f.dataType for f in df.schema if f.name.lower() == name.lower())
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) and "timestamp" in CONTRACT[name]:
-        return F.col(name).alias(name)
-    return F.col(name).cast(CONTRACT[name]).alias(name)
+    kinds = {f.name.lower(): f.dataType for f in df.schema}
+
+    def one(name: str) -> str:
+        kind, wanted = kinds[name.lower()], CONTRACT[name]
+        timestamps = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
+        fits = kind.simpleString() == wanted or (timestamps and "timestamp" in wanted)
+        return f"{name} AS {name}" if fits else f"CAST({name} AS {wanted}) AS {name}"
+
+    return [one(name) for name in names]
 
 
 def rename_native(df: DataFrame, fleet: Fleet) -> DataFrame:
@@ -32,12 +37,12 @@ def rename_native(df: DataFrame, fleet: Fleet) -> DataFrame:
 def fill_missing(df: DataFrame, required: Mapping[str, str] = REQUIRED) -> DataFrame:
     """Add each absent required column as a null of its contract type."""
     present = {name.lower() for name in df.columns}
-    absent = {
-        name: F.lit(None).cast(kind)
+    absent = [
+        f"CAST(NULL AS {kind}) AS {name}"
         for name, kind in required.items()
         if name.lower() not in present
-    }
-    return df.withColumns(absent) if absent else df
+    ]
+    return df.selectExpr("*", *absent) if absent else df
 
 
 def project_contract(df: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
@@ -46,12 +51,8 @@ def project_contract(df: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     `extra` names further columns to keep as they are.
     """
     present = {name.lower() for name in df.columns}
-    kept = [
-        conform(df, name)
-        for name in CONTRACT
-        if name in REQUIRED or name.lower() in present
-    ]
-    return df.select(*kept, *extra)
+    kept = [name for name in CONTRACT if name in REQUIRED or name.lower() in present]
+    return df.selectExpr(*conform(df, kept), *extra)
 
 
 def standardize(df: DataFrame, fleet: Fleet, extra: Iterable[str] = ()) -> DataFrame:

@@ -137,16 +137,13 @@ def landing_entries(spark: SparkSession, base: str) -> list[Entry]:
     return entries
 
 
-def read_entries(
-    spark: SparkSession, fleet: Fleet, schema: StructType, paths: Sequence[str]
-) -> DataFrame:
-    """One scan over many files of a fleet, with provenance columns.
+def with_provenance(files: DataFrame, fleet: Fleet) -> DataFrame:
+    """A fleet's files under canonical names and types, with where they came from.
 
     The fleet is a literal, so a filter on it drops whole scans. File name and
     month come from the path, and cost nothing when no one selects them.
     """
     name = entry_name(F.col("_metadata.file_path"))
-    files = spark.read.schema(schema).parquet(*paths)
     frame = rename_native(files, fleet).withColumns(
         {
             FLEET: F.lit(fleet.name),
@@ -155,7 +152,17 @@ def read_entries(
             "ingestion_timestamp": F.current_timestamp(),
         }
     )
-    return frame.withColumns({c: conform(frame, c) for c in CONTRACT if c in frame.columns})
+    typed = {name.lower(): name for name in CONTRACT}
+    in_contract = [typed[c.lower()] for c in frame.columns if c.lower() in typed]
+    others = [f"`{c}`" for c in frame.columns if c.lower() not in typed]
+    return frame.selectExpr(*conform(frame, in_contract), *others)
+
+
+def read_entries(
+    spark: SparkSession, fleet: Fleet, schema: StructType, paths: Sequence[str]
+) -> DataFrame:
+    """One scan over many files of a fleet that share a schema."""
+    return with_provenance(spark.read.schema(schema).parquet(*paths), fleet)
 
 
 def probe(spark: SparkSession, entries: Sequence[Entry], threads: int = 16):
