@@ -15,19 +15,18 @@ PER_MILLE = (250, 500, 750, 950)  # quantiles, in thousandths
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per column and distinct value; nulls and NaNs are left out.
+    """Rows per column, by position, and distinct value, without nulls and NaNs.
 
     Equal values meet in the map-side aggregation, so a value that a third of
     all rows hold reaches the shuffle as one row per task.
     """
-    pairs = [
-        F.struct(F.lit(name).alias("metric"), F.col(name).cast("double").alias("value"))
-        for name in columns
-    ]
-    melted = df.select(F.inline(F.array(*pairs))).filter(
-        F.col("value").isNotNull() & ~F.isnan("value")
+    values = ", ".join(f"{i}, CAST({name} AS DOUBLE)" for i, name in enumerate(columns))
+    return (
+        df.selectExpr(f"stack({len(columns)}, {values}) AS (metric, value)")
+        .filter("value IS NOT NULL AND NOT isnan(value)")
+        .groupBy("metric", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    return melted.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def value_bin(value: Column) -> Column:
@@ -89,8 +88,8 @@ def quantiles(counts: DataFrame, per_mille: Sequence[int] = PER_MILLE) -> DataFr
     targets = (
         bins.withColumn("per_mille", wanted)
         .withColumn("rank", F.expr("greatest(1, (total * per_mille + 999) div 1000)"))
-        .filter((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("in_bin")))
-        .select("metric", "bin", "per_mille", (F.col("rank") - F.col("upto") + F.col("in_bin")).alias("nth"))
+        .filter("rank <= upto AND rank > upto - in_bin")
+        .selectExpr("metric", "bin", "per_mille", "rank - upto + in_bin AS nth")
     )
     inside = Window.partitionBy("metric", "bin", "per_mille").orderBy("value")
     return (
@@ -110,6 +109,7 @@ def distribution(
     wide = (
         quantiles(counts, per_mille)
         .groupBy("metric")
-        .agg(*(F.max(F.when(F.col("per_mille") == p, F.col("quantile"))).alias(f"p{p}") for p in per_mille))
+        .agg(*(F.expr(f"max(IF(per_mille = {p}, quantile, NULL)) AS p{p}") for p in per_mille))
     )
-    return summary(counts).join(wide, "metric")
+    name = F.get(F.array(*map(F.lit, columns)), F.col("metric"))
+    return summary(counts).join(wide, "metric").withColumn("metric", name)

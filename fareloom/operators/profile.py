@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareloom.contract import AMOUNT, BOUNDS, DROPOFF, PASSENGERS, PICKUP, Bound
-from fareloom.operators.quality import Rule, rejected_rows
+from fareloom.operators.quality import Rule, failed_mask, rule_names
 
 
 def to_rows(wide: DataFrame, records: Sequence[Mapping[str, Column]]) -> DataFrame:
@@ -136,12 +136,16 @@ def reject_reasons(df: DataFrame, rules: Sequence[Rule], *keys: str) -> DataFram
     """Rejected rows per exact combination of failed rules.
 
     The counts of all combinations add up to the rows dropped, each row once.
+    Rows are grouped by number; names are put in once per combination.
     """
-    return (
-        rejected_rows(df, rules)
-        .groupBy(*keys, F.array_join("reasons", "+").alias("reasons"))
+    combinations = (
+        df.select(*keys, failed_mask(rules).alias("mask"))
+        .filter("mask <> 0")
+        .groupBy(*keys, "mask")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
+    names = F.array_join(rule_names("mask", rules), "+").alias("reasons")
+    return combinations.select(*keys, names, "n_rows")
 
 
 def checksum(df: DataFrame, *keys: str) -> DataFrame:

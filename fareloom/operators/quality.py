@@ -85,15 +85,22 @@ def keep_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.filter(" AND ".join(f"({rule.sql})" for rule in rules))
 
 
-def failed_rules(rules: Sequence[Rule]) -> Column:
-    """Names of the rules a row fails, as an array."""
-    names = ", ".join(f"CASE WHEN {rule.failed} THEN '{rule.name}' END" for rule in rules)
-    return F.expr(f"array_compact(array({names}))")
+def failed_mask(rules: Sequence[Rule]) -> Column:
+    """The rules a row fails as bits of a number, the first rule lowest."""
+    bits = (f"IF({rule.failed}, {1 << i}, 0)" for i, rule in enumerate(rules))
+    return F.expr(" + ".join(bits))
+
+
+def rule_names(mask: str, rules: Sequence[Rule]) -> Column:
+    """The names behind such a number, as an array."""
+    names = (f"IF({mask} & {1 << i} <> 0, '{r.name}', NULL)" for i, r in enumerate(rules))
+    return F.expr(f"array_compact(array({', '.join(names)}))")
 
 
 def rejected_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The other side of `keep_rows`, with the reasons of each rejected row."""
-    return df.withColumn("reasons", failed_rules(rules)).filter(F.size("reasons") > 0)
+    rejected = df.withColumn("mask", failed_mask(rules)).filter("mask <> 0")
+    return rejected.withColumn("reasons", rule_names("mask", rules)).drop("mask")
 
 
 def with_duration(df: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,8 +61,17 @@ def standardize(df: DataFrame, fleet: Fleet, extra: Iterable[str] = ()) -> DataF
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     """Union by name. The result does not depend on column order, and a column
-    that only some frames have becomes null in the others."""
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
+    that only some frames have becomes null in the others.
+
+    Frames are joined in pairs, then pairs of pairs: with hundreds of them, a
+    chain would be analysed anew from its start at every link.
+    """
+    level = list(frames)
+    while len(level) > 1:
+        pairs = zip(level[::2], level[1::2], strict=False)
+        rest = level[-1:] if len(level) % 2 else []
+        level = [left.unionByName(right, allowMissingColumns=True) for left, right in pairs] + rest
+    return level[0]
 
 
 def merge_native_columns(df: DataFrame, fleets: Mapping[str, Fleet] = FLEETS) -> DataFrame:

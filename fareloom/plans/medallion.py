@@ -62,13 +62,14 @@ class Layers:
 
 
 def refresh(
-    lake: Lake, raw: DataFrame, layers: Layers | None = None, by_month: bool = False
+    lake: Lake, raw: DataFrame, layers: Layers | None = None, by_month: bool = True
 ) -> dict[str, WriteReport]:
     """Write all four layers, each from the table below it.
 
-    `by_month` says that the raw files already follow fleet and month. Bronze
-    is then written without a shuffle; silver always is, as it takes over the
-    layout of bronze.
+    `by_month` says that the raw files follow fleet and month, as delivered
+    files do. Bronze is then written without a shuffle; the few trips that are
+    in the wrong file make small files, which `maintain` collects. Silver takes
+    over the layout of bronze and never needs a shuffle.
     """
     layers = layers or Layers()
     reports = {"raw": lake.write("raw", raw)}
@@ -81,7 +82,7 @@ def refresh(
 
 
 def maintain(lake: Lake) -> dict[str, dict[str, int]]:
-    """Compact and analyse every layer; returns the statistics."""
+    """Compact every layer where it has small files, and analyse it."""
     statistics = {}
     for layer in lake.existing():
         lake.compact(layer)

@@ -149,12 +149,10 @@ def provenance_columns(spark, sf_dir):
 
 
 def file_name_parse(spark, sf_dir):
-    raw = ingested(spark, sf_dir).raw.select("source_file")
+    files = ingested(spark, sf_dir).raw.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"))
     parsed = landing.parse_name(F.col("source_file"))
-    return (
-        raw.select("source_file", *(value.alias(name) for name, value in parsed.items()))
-        .groupBy("source_file", FLEET, "year_month")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+    return files.select(
+        "source_file", *(value.alias(name) for name, value in parsed.items()), "n_rows"
     )
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from math import ceil
 
@@ -14,6 +15,7 @@ from fareloom.operators.unify import union_all
 from fareloom.session import fresh_path
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 @dataclass(frozen=True)
@@ -27,10 +29,10 @@ class WriteReport:
 class Lake:
     """The layer tables of one schema.
 
-    Tables are external Parquet. A full write goes to a fresh path and the
-    table is pointed to it when the write is complete, so a job that dies half
-    way leaves the old table as it was, and a table may be rewritten from
-    itself.
+    Tables are external Parquet. Every write goes to a fresh path, and the
+    table or its partition is pointed there when the write is complete. A job
+    that dies half way leaves the old table as it was, readers keep the files
+    they opened, and a table may be rewritten from itself.
     """
 
     spark: SparkSession
@@ -55,11 +57,6 @@ class Lake:
     def read(self, layer: str) -> DataFrame:
         return self.spark.table(self.table(layer))
 
-    def path(self, layer: str) -> str:
-        detail = self.spark.sql(f"DESCRIBE EXTENDED {self.table(layer)}")
-        row = detail.filter("col_name = 'Location'").select("data_type").first()
-        return row["data_type"]
-
     def partitioning(self, layer: str) -> list[str]:
         # The catalogue's name parser takes the parts without quotes.
         columns = self.spark.catalog.listColumns(self.table(layer).replace("`", ""))
@@ -82,29 +79,35 @@ class Lake:
     def write_partitions(self, layer: str, df: DataFrame) -> WriteReport:
         """Replace only those partitions of a layer that `df` has rows for."""
         keys = self.partitioning(layer)
-        path = self.path(layer)
-        counted = Observation()
-        columns = self.read(layer).columns
-        (
-            df.select(*columns)
-            .observe(counted, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*keys)
-            .parquet(path)
-        )
-        self.spark.sql(f"MSCK REPAIR TABLE {self.table(layer)}")
-        self.spark.catalog.refreshTable(self.table(layer))
-        return WriteReport(self.table(layer), path, counted.get["rows"])
+        path, rows = self._store(layer, df.select(*self.read(layer).columns), keys)
+        self._point_partitions(layer, keys, path)
+        return WriteReport(self.table(layer), path, rows)
 
-    def compact(self, layer: str) -> WriteReport:
-        """Rewrite a layer's small files into files of the advised size.
+    def compact(self, layer: str, target_bytes: int = TARGET_FILE_BYTES) -> WriteReport | None:
+        """Rewrite the partitions that consist of small files; None if none do.
 
-        Without partition columns there is no key to shuffle by; rows are then
-        spread evenly, and again adaptive execution sets the file size.
+        Rows are shuffled to their partitions, and adaptive execution cuts the
+        shuffle by the target size: a big partition goes to many tasks, small
+        ones share a task. A layer without partitions is looked at as a whole.
         """
         keys = self.partitioning(layer)
-        return self._replace(layer, self.read(layer).hint("rebalance", *keys), keys)
+        sizes = self.files(layer).groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"), F.avg("length").alias("average")
+        )
+        # One record per partition: as many as there are fleets and months.
+        small = sizes.filter((F.col("n") > 1) & (F.col("average") < target_bytes / 8)).collect()
+        if not small:
+            return None
+        rows = self.read(layer)
+        if keys:
+            rows = rows.filter(" OR ".join(f"({self._spec(keys, row, ' AND ')})" for row in small))
+        with self._file_size(target_bytes):
+            path, count = self._store(layer, rows.hint("rebalance", *keys), keys)
+        if keys:
+            self._point_partitions(layer, keys, path)
+        else:
+            self._point(layer, rows, keys, path)
+        return WriteReport(self.table(layer), path, count)
 
     def cluster(self, layer: str, *order: str, target_bytes: int = TARGET_FILE_BYTES) -> WriteReport:
         """Rewrite a layer so that files hold disjoint ranges of `order`.
@@ -118,11 +121,24 @@ class Lake:
         ranged = self.read(layer).repartitionByRange(files, *keys, *order)
         return self._replace(layer, ranged.sortWithinPartitions(*keys, *order), keys)
 
+    def files(self, layer: str) -> DataFrame:
+        """Data files of a layer with partition values and size, from listings."""
+        folders = {file.rpartition("/")[0] for file in self.read(layer).inputFiles()}
+        if not folders:
+            return self.spark.createDataFrame([], "path string, length bigint")
+        listing = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+        return listing.load(sorted(folders)).select(
+            *(
+                F.regexp_extract("path", f"/{key}=([^/]+)/", 1).alias(key)
+                for key in self.partitioning(layer)
+            ),
+            "path",
+            "length",
+        )
+
     def size(self, layer: str) -> int:
-        """Bytes of a layer's data files, from a listing."""
-        listing = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        files = listing.option("pathGlobFilter", "*.parquet").load(self.path(layer))
-        return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+        """Bytes of a layer's data files."""
+        return self.files(layer).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
     def analyze(self, layer: str) -> dict[str, int]:
         """Compute table statistics and return them."""
@@ -153,22 +169,56 @@ class Lake:
         )
 
     def _replace(self, layer: str, df: DataFrame, keys: Sequence[str]) -> WriteReport:
+        path, rows = self._store(layer, df, keys)
+        self._point(layer, df, keys, path)
+        return WriteReport(self.table(layer), path, rows)
+
+    def _store(self, layer: str, df: DataFrame, keys: Sequence[str]) -> tuple[str, int]:
+        """Write to a fresh path; returns it and the rows counted on the way."""
         path = fresh_path(self.spark, f"{self.schema}/{self.tables[layer]}")
         counted = Observation()
         writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
         (writer.partitionBy(*keys) if keys else writer).parquet(path)
-        self._point_to(layer, df, keys, path)
-        return WriteReport(self.table(layer), path, counted.get["rows"])
+        return path, counted.get["rows"]
 
-    def _point_to(self, layer: str, df: DataFrame, keys: Sequence[str], path: str) -> None:
+    def _point(self, layer: str, df: DataFrame, keys: Sequence[str], path: str) -> None:
+        """Make the table stand for the files below a path."""
         table = self.table(layer)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
         partitioned = f"PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)})" if keys else ""
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {partitioned} LOCATION '{path}'")
+        self.spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet {partitioned} LOCATION '{path}'"
+        )
         if keys:
             self.spark.sql(f"MSCK REPAIR TABLE {table}")
 
+    def _point_partitions(self, layer: str, keys: Sequence[str], path: str) -> None:
+        """Make the partitions written below a path stand for those of the table."""
+        table = self.table(layer)
+        files = self.spark.read.format("binaryFile").load(path)
+        folder = F.regexp_replace("path", "/[^/]+$", "").alias("folder")
+        for row in files.select(*keys, folder).distinct().collect():
+            partition = f"PARTITION ({self._spec(keys, row, ', ')})"
+            location = f"LOCATION '{row['folder']}'"
+            self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partition} {location}")
+            self.spark.sql(f"ALTER TABLE {table} {partition} SET {location}")
+        self.spark.catalog.refreshTable(table)
+
+    @staticmethod
+    def _spec(keys: Sequence[str], row, separator: str) -> str:
+        return separator.join(f"{key} = '{row[key]}'" for key in keys)
+
+    @contextmanager
+    def _file_size(self, target_bytes: int) -> Iterator[None]:
+        """Let adaptive execution aim at a size for the time of one write."""
+        before = self.spark.conf.get(ADVISORY_BYTES)
+        self.spark.conf.set(ADVISORY_BYTES, str(target_bytes))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(ADVISORY_BYTES, before)
+
 
 def append_with_new_columns(frames: Sequence[DataFrame], path: str) -> None:
     """Append batches to one path, each with the columns it happens to have."""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -137,32 +135,50 @@ def landing_entries(spark: SparkSession, base: str) -> list[Entry]:
     return entries
 
 
-def with_provenance(files: DataFrame, fleet: Fleet) -> DataFrame:
-    """A fleet's files under canonical names and types, with where they came from.
+def typed(frame: DataFrame) -> DataFrame:
+    """Cast the contract columns a frame has, and keep the others as they are."""
+    contract = {name.lower(): name for name in CONTRACT}
+    inside = [contract[c.lower()] for c in frame.columns if c.lower() in contract]
+    others = [f"`{c}`" for c in frame.columns if c.lower() not in contract]
+    return frame.selectExpr(*conform(frame, inside), *others)
+
+
+def read_entry(spark: SparkSession, entry: Entry, schema: StructType) -> DataFrame:
+    """One entry under canonical names and types, with where it came from.
 
-    The fleet is a literal, so a filter on it drops whole scans. File name and
-    month come from the path, and cost nothing when no one selects them.
+    Fleet, month and file name are literals: they cost nothing per row, and a
+    filter on fleet or month drops the scans of all other entries.
     """
-    name = entry_name(F.col("_metadata.file_path"))
-    frame = rename_native(files, fleet).withColumns(
-        {
-            FLEET: F.lit(fleet.name),
-            "year_month": parse_name(name)["year_month"],
-            "source_file": name,
-            "ingestion_timestamp": F.current_timestamp(),
-        }
+    fleet = FLEETS.get(entry.fleet, Fleet(entry.fleet))
+    files = rename_native(spark.read.schema(schema).parquet(entry.path), fleet)
+    return typed(
+        files.withColumns(
+            {
+                FLEET: F.lit(entry.fleet),
+                "year_month": F.lit(entry.year_month),
+                "source_file": F.lit(entry.file_name),
+                "ingestion_timestamp": F.current_timestamp(),
+            }
+        )
     )
-    typed = {name.lower(): name for name in CONTRACT}
-    in_contract = [typed[c.lower()] for c in frame.columns if c.lower() in typed]
-    others = [f"`{c}`" for c in frame.columns if c.lower() not in typed]
-    return frame.selectExpr(*conform(frame, in_contract), *others)
 
 
-def read_entries(
-    spark: SparkSession, fleet: Fleet, schema: StructType, paths: Sequence[str]
-) -> DataFrame:
-    """One scan over many files of a fleet that share a schema."""
-    return with_provenance(spark.read.schema(schema).parquet(*paths), fleet)
+def with_provenance(files: DataFrame, fleet: Fleet) -> DataFrame:
+    """The same for a frame over many entries, such as a stream of files.
+
+    File name and month are worked out of the path of each row.
+    """
+    name = entry_name(F.col("_metadata.file_path"))
+    return typed(
+        rename_native(files, fleet).withColumns(
+            {
+                FLEET: F.lit(fleet.name),
+                "year_month": parse_name(name)["year_month"],
+                "source_file": name,
+                "ingestion_timestamp": F.current_timestamp(),
+            }
+        )
+    )
 
 
 def probe(spark: SparkSession, entries: Sequence[Entry], threads: int = 16):
@@ -181,25 +197,17 @@ def probe(spark: SparkSession, entries: Sequence[Entry], threads: int = 16):
 def ingest(spark: SparkSession, entries: Iterable[Entry]) -> Ingest:
     """Read all entries; one that cannot be read is reported and left out.
 
-    Entries of one fleet with the same schema share one scan, so the number of
-    scans grows with schema versions and not with months. Columns are renamed
-    and typed before the union, which goes by name: entry order has no effect.
+    Columns are renamed and typed per entry before the union, which goes by
+    name, so neither entry order nor a drift of types has an effect.
     """
-    groups: dict[tuple[str, str], list[str]] = defaultdict(list)
-    outcomes = []
-    for entry, (schema, error) in probe(spark, list(entries)):
-        outcomes.append(Outcome(entry, error))
-        if schema is not None:
-            groups[entry.fleet, schema.json()].append(entry.path)
-    if not groups:
-        errors = "; ".join(o.error for o in outcomes) or "no entries"
-        raise ValueError(f"no trip file could be read: {errors}")
+    probed = probe(spark, list(entries))
+    outcomes = [Outcome(entry, error) for entry, (_, error) in probed]
     frames = [
-        read_entries(
-            spark, FLEETS.get(name, Fleet(name)), StructType.fromJson(json.loads(schema)), paths
-        )
-        for (name, schema), paths in groups.items()
+        read_entry(spark, entry, schema) for entry, (schema, _) in probed if schema is not None
     ]
+    if not frames:
+        errors = "; ".join(o.error for o in outcomes) or "no entries"
+        raise ValueError(f"no trip file could be read: {errors}")
     return Ingest(union_all(frames), outcomes)
 
 

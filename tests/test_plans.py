@@ -19,14 +19,21 @@ def raw(spark, sf_dir):
 
 
 def test_bronze_rules_reach_the_file_scan(raw):
-    text = plan(Layers().silver(Layers().bronze(unify_mixed(raw))).filter("taxi_type = 'yellow'"))
-    assert text.count("FileScan") == 1
+    text = plan(Layers().silver(Layers().bronze(unify_mixed(raw))))
+    assert text.count("FileScan") == 10  # one per fleet and month
     pushed = text.split("PushedFilters: [")[1].split("]")[0]
     assert "IsNotNull(total_amount)" in pushed
     assert "GreaterThanOrEqual(total_amount,0.0)" in text
     assert "LessThanOrEqual(total_amount,1000.0)" in text
 
 
+def test_fleet_and_month_drop_whole_files(raw):
+    bronze = Layers().bronze(unify_mixed(raw))
+    assert plan(bronze.filter("taxi_type = 'yellow'")).count("FileScan") == 5
+    one = bronze.filter("taxi_type = 'yellow' AND year_month = '2024-05'")
+    assert plan(one).count("FileScan") == 1
+
+
 def test_rollup_reads_only_what_it_needs(raw):
     text = plan(Layers().gold_from(unify_mixed(raw)))
     for schema in text.split("ReadSchema: ")[1:]:
