@@ -257,7 +257,9 @@ def _files_of(lake: Lake, layer: str) -> DataFrame:
 def compact_table(spark, sf_dir):
     """Scatter a table over one file per core and partition, then compact it."""
     lake = scratch_lake(spark, "compacted")
-    scattered = _numbered(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+    scattered = _numbered(spark, sf_dir).repartition(
+        max(2, spark.sparkContext.defaultParallelism)
+    )
     reports = (lake.write("silver", scattered, PARTITIONING), lake.compact("silver"))
     before, after = (
         spark.read.parquet(report.path)

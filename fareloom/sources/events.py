@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.contract import (
@@ -24,30 +24,37 @@ FLEET_EVENTS: dict[str, tuple[str, ...]] = {
 }
 
 
-def _trip_columns(pickup_name: str, dropoff_name: str) -> list[Column]:
-    """Trip columns computed from one event, with gaps and outliers in them."""
-    event = F.col("event_id")
-    value = F.col("value")
-    pickup = F.col("ts") + (event % 5) * F.expr("INTERVAL '30' DAY")
-    minutes = (event * 7919) % 1500 - 30
-    amount = (
-        F.when(event % 23 == 0, F.lit(None))
-        .when(event % 29 == 0, -value)
-        .when(event % 31 == 0, value * 20)
-        .otherwise(value)
+# Trip columns computed from one event, with gaps and outliers in them.
+PICKUP_SQL = "ts + (event_id % 5) * INTERVAL '30' DAY"
+TRIP_SQL = {
+    VENDOR: "user_id",
+    PASSENGERS: "IF(event_id % 17 = 0, NULL, CAST((event_id * 7) % 13 AS DOUBLE))",
+    AMOUNT: (
+        "CASE WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 29 = 0 THEN -value "
+        "WHEN event_id % 31 = 0 THEN value * 20 ELSE value END"
+    ),
+    PICKUP: "pickup",
+    DROPOFF: (
+        "IF(event_id % 37 = 0, NULL, "
+        "pickup + ((event_id * 7919) % 1500 - 30) * INTERVAL '1' MINUTE)"
+    ),
+    DISTANCE: "IF(event_id % 19 = 0, NULL, CAST((event_id * 31) % 1100 AS DOUBLE) / 10)",
+    "fare_amount": "value",
+}
+
+
+def shape(events: DataFrame, fleet: Fleet | None = None) -> DataFrame:
+    """Trip columns of each event, under a fleet's own names if one is given.
+
+    They come out of one-row generators. A plain projection would be copied
+    into every rule and every derived column that refers to it, and the time
+    arithmetic be done a dozen times per trip instead of once.
+    """
+    names = fleet.native(TRIP_SQL) if fleet else list(TRIP_SQL)
+    columns = [name for name in events.columns if name in ("event_id", FLEET)]
+    return events.selectExpr("*", f"stack(1, {PICKUP_SQL}) AS (pickup)").selectExpr(
+        *columns, f"stack(1, {', '.join(TRIP_SQL.values())}) AS ({', '.join(names)})"
     )
-    return [
-        event.alias("event_id"),
-        F.col("user_id").alias(VENDOR),
-        F.when(event % 17 != 0, ((event * 7) % 13).cast("double")).alias(PASSENGERS),
-        amount.alias(AMOUNT),
-        pickup.alias(pickup_name),
-        F.when(event % 37 != 0, pickup + minutes * F.expr("INTERVAL '1' MINUTE")).alias(
-            dropoff_name
-        ),
-        F.when(event % 19 != 0, ((event * 31) % 1100) / F.lit(10)).alias(DISTANCE),
-        value.alias("fare_amount"),
-    ]
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,24 +64,17 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fleet_frame(spark: SparkSession, sf_dir: str, fleet: Fleet) -> DataFrame:
     """One fleet's trips under the fleet's own column names."""
     own = read_events(spark, sf_dir).filter(F.col("event_type").isin(*FLEET_EVENTS[fleet.name]))
-    return own.select(*_trip_columns(*fleet.native((PICKUP, DROPOFF))))
+    return shape(own, fleet)
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All trips under canonical names, in one scan, with provenance columns.
-
-    A filter on the fleet reaches the scan as a filter on the event type.
-    """
+    """All trips under canonical names, in one scan, with provenance columns."""
     every_type = [kind for kinds in FLEET_EVENTS.values() for kind in kinds]
     (first, first_kinds), (second, _) = FLEET_EVENTS.items()
     fleet = F.when(F.col("event_type").isin(*first_kinds), first).otherwise(second)
-    shaped = (
-        read_events(spark, sf_dir)
-        .filter(F.col("event_type").isin(*every_type))
-        .select(*_trip_columns(PICKUP, DROPOFF), fleet.alias(FLEET))
-    )
+    events = read_events(spark, sf_dir).filter(F.col("event_type").isin(*every_type))
     month = year_month(F.year(PICKUP), F.month(PICKUP))
-    return shaped.withColumns(
+    return shape(events.withColumn(FLEET, fleet)).withColumns(
         {
             "year_month": month,
             "source_file": F.concat(F.col(FLEET), F.lit("_tripdata_"), month, F.lit(".parquet")),
