@@ -87,13 +87,13 @@ def keep_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def failed_mask(rules: Sequence[Rule]) -> Column:
     """The rules a row fails as bits of a number, the first rule lowest."""
-    bits = (f"IF({rule.failed}, {1 << i}, 0)" for i, rule in enumerate(rules))
+    bits = (f"IF({rule.failed}, {1 << i}L, 0L)" for i, rule in enumerate(rules))
     return F.expr(" + ".join(bits))
 
 
 def rule_names(mask: str, rules: Sequence[Rule]) -> Column:
     """The names behind such a number, as an array."""
-    names = (f"IF({mask} & {1 << i} <> 0, '{r.name}', NULL)" for i, r in enumerate(rules))
+    names = (f"IF({mask} & {1 << i}L <> 0, '{r.name}', NULL)" for i, r in enumerate(rules))
     return F.expr(f"array_compact(array({', '.join(names)}))")
 
 

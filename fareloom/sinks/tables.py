@@ -182,16 +182,21 @@ class Lake:
         return path, counted.get["rows"]
 
     def _point(self, layer: str, df: DataFrame, keys: Sequence[str], path: str) -> None:
-        """Make the table stand for the files below a path."""
-        table = self.table(layer)
+        """Make the table stand for the files below a path.
+
+        The new table is complete before it takes the name of the old one.
+        """
+        table, coming = self.table(layer), f"`{self.schema}`.`{self.tables[layer]}__coming`"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
         partitioned = f"PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)})" if keys else ""
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {coming}")
         self.spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet {partitioned} LOCATION '{path}'"
+            f"CREATE TABLE {coming} ({columns}) USING parquet {partitioned} LOCATION '{path}'"
         )
         if keys:
-            self.spark.sql(f"MSCK REPAIR TABLE {table}")
+            self.spark.sql(f"MSCK REPAIR TABLE {coming}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.spark.sql(f"ALTER TABLE {coming} RENAME TO {table}")
 
     def _point_partitions(self, layer: str, keys: Sequence[str], path: str) -> None:
         """Make the partitions written below a path stand for those of the table."""

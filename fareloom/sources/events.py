@@ -13,6 +13,7 @@ from fareloom.contract import (
     PASSENGERS,
     PICKUP,
     VENDOR,
+    YELLOW,
     Fleet,
 )
 from fareloom.functions.calendar import year_month
@@ -24,36 +25,36 @@ FLEET_EVENTS: dict[str, tuple[str, ...]] = {
 }
 
 
-# Trip columns computed from one event, with gaps and outliers in them.
+# Trip columns of one event, with gaps and outliers in them.
 PICKUP_SQL = "ts + (event_id % 5) * INTERVAL '30' DAY"
-TRIP_SQL = {
-    VENDOR: "user_id",
+RENAMED = {VENDOR: "user_id", PICKUP: "pickup", "fare_amount": "value"}
+COMPUTED = {
     PASSENGERS: "IF(event_id % 17 = 0, NULL, CAST((event_id * 7) % 13 AS DOUBLE))",
     AMOUNT: (
         "CASE WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 29 = 0 THEN -value "
         "WHEN event_id % 31 = 0 THEN value * 20 ELSE value END"
     ),
-    PICKUP: "pickup",
     DROPOFF: (
         "IF(event_id % 37 = 0, NULL, "
         "pickup + ((event_id * 7919) % 1500 - 30) * INTERVAL '1' MINUTE)"
     ),
     DISTANCE: "IF(event_id % 19 = 0, NULL, CAST((event_id * 31) % 1100 AS DOUBLE) / 10)",
-    "fare_amount": "value",
 }
 
 
-def shape(events: DataFrame, fleet: Fleet | None = None) -> DataFrame:
-    """Trip columns of each event, under a fleet's own names if one is given.
+def shape(events: DataFrame, fleet: Fleet) -> DataFrame:
+    """Trip columns of each event under the fleet's own names.
 
     They come out of one-row generators. A plain projection would be copied
     into every rule and every derived column that refers to it, and the time
     arithmetic be done a dozen times per trip instead of once.
     """
-    names = fleet.native(TRIP_SQL) if fleet else list(TRIP_SQL)
-    columns = [name for name in events.columns if name in ("event_id", FLEET)]
+    kept = [name for name in events.columns if name in ("event_id", FLEET)]
+    names = dict(zip((*RENAMED, *COMPUTED), fleet.native((*RENAMED, *COMPUTED)), strict=True))
+    renamed = [f"{source} AS {names[name]}" for name, source in RENAMED.items()]
+    computed = ", ".join(names[name] for name in COMPUTED)
     return events.selectExpr("*", f"stack(1, {PICKUP_SQL}) AS (pickup)").selectExpr(
-        *columns, f"stack(1, {', '.join(TRIP_SQL.values())}) AS ({', '.join(names)})"
+        *kept, *renamed, f"stack(1, {', '.join(COMPUTED.values())}) AS ({computed})"
     )
 
 
@@ -74,7 +75,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     fleet = F.when(F.col("event_type").isin(*first_kinds), first).otherwise(second)
     events = read_events(spark, sf_dir).filter(F.col("event_type").isin(*every_type))
     month = year_month(F.year(PICKUP), F.month(PICKUP))
-    return shape(events.withColumn(FLEET, fleet)).withColumns(
+    return shape(events.withColumn(FLEET, fleet), YELLOW).withColumns(
         {
             "year_month": month,
             "source_file": F.concat(F.col(FLEET), F.lit("_tripdata_"), month, F.lit(".parquet")),
@@ -86,14 +87,12 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines under canonical trip names: shipping day as pickup, quantity
     as minutes and, twentyfold, as amount; one fleet per return flag."""
-    quantity = F.col("l_quantity")
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        F.col("l_suppkey").alias(VENDOR),
-        F.col("l_linenumber").cast("double").alias(PASSENGERS),
-        (quantity * F.lit(20)).alias(AMOUNT),
-        F.col("l_shipdate").alias(PICKUP),
-        (F.col("l_shipdate") + quantity.cast("bigint") * F.expr("INTERVAL '1' MINUTE")).alias(
-            DROPOFF
-        ),
-        F.col("l_returnflag").alias(FLEET),
+    dropoff = "l_shipdate + CAST(l_quantity AS BIGINT) * INTERVAL '1' MINUTE"
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        f"l_suppkey AS {VENDOR}",
+        f"CAST(l_linenumber AS DOUBLE) AS {PASSENGERS}",
+        f"l_quantity * 20 AS {AMOUNT}",
+        f"l_shipdate AS {PICKUP}",
+        f"l_returnflag AS {FLEET}",
+        f"stack(1, {dropoff}) AS ({DROPOFF})",
     )
