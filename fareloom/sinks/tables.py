@@ -15,7 +15,8 @@ from fareloom.operators.unify import union_all
 from fareloom.session import fresh_path
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
-ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+SHUFFLE_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+SCAN_BYTES, SCAN_TASKS = "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
 
 
 @dataclass(frozen=True)
@@ -88,7 +89,8 @@ class Lake:
 
         Rows are shuffled to their partitions, and adaptive execution cuts the
         shuffle by the target size: a big partition goes to many tasks, small
-        ones share a task. A layer without partitions is looked at as a whole.
+        ones share a task. A layer without partitions is looked at as a whole,
+        and needs no shuffle: its files are packed into scan tasks of that size.
         """
         keys = self.partitioning(layer)
         sizes = self.files(layer).groupBy(*keys).agg(
@@ -99,14 +101,13 @@ class Lake:
         if not small:
             return None
         rows = self.read(layer)
-        if keys:
-            rows = rows.filter(" OR ".join(f"({self._spec(keys, row, ' AND ')})" for row in small))
-        with self._file_size(target_bytes):
-            path, count = self._store(layer, rows.hint("rebalance", *keys), keys)
-        if keys:
-            self._point_partitions(layer, keys, path)
-        else:
-            self._point(layer, rows, keys, path)
+        if not keys:
+            with self._settings({SCAN_BYTES: target_bytes, SCAN_TASKS: 1}):
+                return self._replace(layer, rows, keys)
+        chosen = rows.filter(" OR ".join(f"({self._spec(keys, row, ' AND ')})" for row in small))
+        with self._settings({SHUFFLE_BYTES: target_bytes}):
+            path, count = self._store(layer, chosen.hint("rebalance", *keys), keys)
+        self._point_partitions(layer, keys, path)
         return WriteReport(self.table(layer), path, count)
 
     def cluster(self, layer: str, *order: str, target_bytes: int = TARGET_FILE_BYTES) -> WriteReport:
@@ -215,14 +216,19 @@ class Lake:
         return separator.join(f"{key} = '{row[key]}'" for key in keys)
 
     @contextmanager
-    def _file_size(self, target_bytes: int) -> Iterator[None]:
-        """Let adaptive execution aim at a size for the time of one write."""
-        before = self.spark.conf.get(ADVISORY_BYTES)
-        self.spark.conf.set(ADVISORY_BYTES, str(target_bytes))
+    def _settings(self, values: dict[str, int]) -> Iterator[None]:
+        """Session settings for the time of one write."""
+        before = {name: self.spark.conf.get(name, None) for name in values}
+        for name, value in values.items():
+            self.spark.conf.set(name, str(value))
         try:
             yield
         finally:
-            self.spark.conf.set(ADVISORY_BYTES, before)
+            for name, value in before.items():
+                if value is None:
+                    self.spark.conf.unset(name)
+                else:
+                    self.spark.conf.set(name, value)
 
 
 def append_with_new_columns(frames: Sequence[DataFrame], path: str) -> None:
