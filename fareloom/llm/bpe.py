@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 from fareloom.llm.common import batches, struct_array
 
 TOKENIZER = "word_bpe_49k.json"
-TEXT_BYTES = 2 << 20
-CACHED_WORDS = 150_000  # of a worker; forgotten together when there are more
+TEXT_BYTES = 4 << 20
+CACHED_WORDS = 250_000  # of a worker; forgotten together when there are more
 WIDEST = 64  # symbols of a word that is encoded side by side with others
 NO_PAIR = np.iinfo(np.int64).max
 SPACE = r"\t-\r \x85\xa0  -     　"
 _WORDS = regex.compile(f"[^{SPACE}]+")
-_ODD_SPACE = regex.compile("[\x1c-\x1f]")  # str.split() takes these for white space
+_ODD_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() takes these for white space
 
 
 def byte_letters() -> list[str]:
@@ -160,15 +160,21 @@ def encode_side_by_side(symbols: np.ndarray, vocabulary: Vocabulary) -> np.ndarr
 
 
 class Encoder:
-    """Token ids and texts of words, kept for words that come again."""
+    """Token ids and texts of words, kept for words that come again.
+
+    Words are kept in two generations: when the younger one is full it becomes
+    the older one, and the older is forgotten but for words met again since.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.words: dict[str, tuple[bytes, str]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.ids: dict[str, bytes] = {}
+        self.texts: dict[str, str] = {}
+        self.older: tuple[dict[str, bytes], dict[str, str]] = ({}, {})
 
-    def _encode_pieces(self, pieces: list[str]) -> None:
-        vocabulary, by_width = self.vocabulary, {}
+    def _encode_pieces(self, pieces: list[str]) -> dict[str, tuple[bytes, str]]:
+        vocabulary, by_width, found = self.vocabulary, {}, {}
+        tokens = vocabulary.tokens
         for piece in pieces:
             data = piece.encode()
             width = 1 << max(1, (len(data) - 1).bit_length())
@@ -179,11 +185,13 @@ class Encoder:
                     values = np.frombuffer(data, np.uint8)
                     symbols = vocabulary.inner[values]
                     symbols[-1] = vocabulary.final[values[-1]]
-                    self.pieces[piece] = encode_long(symbols.tolist(), vocabulary)
+                    ids = encode_long(symbols.tolist(), vocabulary)
+                    text = " ".join([tokens[i] for i in ids])
+                    found[piece] = (np.array(ids, "<u4").tobytes(), text)
                 continue
             lengths = np.array([len(data) for _, data in group])
             filled = np.frombuffer(
-                b"".join(data.ljust(width, b"\0") for _, data in group), np.uint8
+                b"".join([data.ljust(width, b"\0") for _, data in group]), np.uint8
             ).reshape(len(group), width)
             symbols = vocabulary.inner[filled]
             last = (np.arange(len(group)), lengths - 1)
@@ -192,33 +200,45 @@ class Encoder:
             ids = encode_side_by_side(symbols, vocabulary)
             kept = ids >= 0
             ends = np.cumsum(kept.sum(axis=1)).tolist()
-            flat, start = ids[kept].tolist(), 0
+            flat = ids[kept]
+            texts, data, start = [tokens[i] for i in flat.tolist()], flat.astype("<u4").tobytes(), 0
             for (piece, _), end in zip(group, ends, strict=True):
-                self.pieces[piece] = flat[start:end]
+                found[piece] = (data[4 * start : 4 * end], " ".join(texts[start:end]))
                 start = end
+        return found
 
     def _split(self, word: str) -> list[str]:
+        """The pieces of a word, by the vocabulary's pattern; letters need none."""
         if not word.isascii():
             word = word if is_normalized("NFC", word) else normalize("NFC", word)
             if "Σ" in word:  # its lower case would depend on the place
-                return self.vocabulary.pattern.findall("".join(c.lower() for c in word))
-        return self.vocabulary.pattern.findall(word.lower())
+                return self.vocabulary.pattern.findall("".join([c.lower() for c in word]))
+        word = word.lower()
+        if word.isalpha():
+            return [word]
+        if word[-1] in ",." and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
+        return self.vocabulary.pattern.findall(word)
 
     def learn(self, words: set[str]) -> None:
         """Encode words that are not known yet."""
-        new = [word for word in words if word not in self.words]
-        if len(self.words) + len(new) > CACHED_WORDS:
-            self.words.clear()
-            self.pieces.clear()
-            new = list(words)
+        if len(self.ids) > CACHED_WORDS:
+            self.older, self.ids, self.texts = (self.ids, self.texts), {}, {}
+        known, texts = self.ids, self.texts
+        old_ids, old_texts = self.older
+        again = words & old_ids.keys() if old_ids else ()
+        for word in again:
+            known[word], texts[word] = old_ids[word], old_texts[word]
+        new = list(words - known.keys())
         split = [self._split(word) for word in new]
-        wanted = {piece for pieces in split for piece in pieces}
-        self._encode_pieces([piece for piece in wanted if piece not in self.pieces])
-        tokens, known = self.vocabulary.tokens, self.pieces
+        found = self._encode_pieces(list({piece for pieces in split for piece in pieces}))
         for word, pieces in zip(new, split, strict=True):
-            ids = [i for piece in pieces for i in known[piece]]
-            text = " ".join([tokens[i] for i in ids])
-            self.words[word] = (np.array(ids, "<u4").tobytes(), text)
+            if len(pieces) == 1:
+                known[word], texts[word] = found[pieces[0]]
+            else:
+                got = [found[piece] for piece in pieces]
+                known[word] = b"".join([x[0] for x in got])
+                texts[word] = " ".join([x[1] for x in got])
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Ids (little-endian, 32 bits each) and decoded text of each text."""
@@ -232,22 +252,16 @@ class Encoder:
             for piece in pieces:
                 if piece in special:
                     words.append(piece)
-                elif _ODD_SPACE.search(piece):
+                elif any(x in piece for x in _ODD_SPACE):
                     words += _WORDS.findall(piece)
                 else:
                     words += piece.split()
             parts.append(words)
-        wanted = {word for words in parts for word in words} - special.keys()
-        self.learn(wanted)
-        known = self.words
+        self.learn(set().union(*parts) - special.keys())
         for token, i in special.items():
-            known[token] = (np.array([i], "<u4").tobytes(), token)
-        result = []
-        for words in parts:
-            found = [known[word] for word in words]
-            ids = b"".join([x[0] for x in found])
-            result.append((ids, " ".join([x[1] for x in found if x[1]])))
-        return result
+            self.ids[token], self.texts[token] = np.array([i], "<u4").tobytes(), token
+        ids, decoded = self.ids.__getitem__, self.texts.__getitem__
+        return [(b"".join(map(ids, words)), " ".join(map(decoded, words))) for words in parts]
 
 
 @lru_cache(maxsize=2)
