@@ -6,16 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import bpe, token_counts
-from fareloom.llm.common import documents, ship
+from fareloom.llm import bpe, language, simhash, token_counts
+from fareloom.llm.common import documents, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(documents(spark, sf_dir)).drop("component")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(spark, sf_dir))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.predict(docs, language.train(docs))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
@@ -29,7 +38,7 @@ def _shipped(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    found = (op7_bpe, op10_token_counts)
+    found = (op4_simhash, op7_bpe, op9_language, op10_token_counts)
     return {query.__name__: _shipped(query) for query in found}
 
 
