@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import bpe, language, quality, simhash, token_counts
+from fareloom.llm import bpe, language, lm, quality, simhash, token_counts
 from fareloom.llm.common import documents, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(documents(spark, sf_dir))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir)).drop("component")
 
@@ -43,7 +47,7 @@ def _shipped(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    found = (op1_quality, op4_simhash, op7_bpe, op9_language, op10_token_counts)
+    found = (op1_quality, op2_lm, op4_simhash, op7_bpe, op9_language, op10_token_counts)
     return {query.__name__: _shipped(query) for query in found}
 
 
