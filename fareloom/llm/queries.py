@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import bpe, language, lm, quality, simhash, token_counts
+from fareloom.llm import bpe, edit, language, lm, quality, simhash, token_counts
 from fareloom.llm.common import documents, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir)).drop("component")
 
 
+def op6_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit.compare_neighbours(documents(spark, sf_dir))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(spark, sf_dir))
 
@@ -47,7 +51,7 @@ def _shipped(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    found = (op1_quality, op2_lm, op4_simhash, op7_bpe, op9_language, op10_token_counts)
+    found = (op1_quality, op2_lm, op4_simhash, op6_edit_fingerprints, op7_bpe, op9_language, op10_token_counts)
     return {query.__name__: _shipped(query) for query in found}
 
 
