@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import bpe, edit, language, lm, quality, simhash, token_counts
+from fareloom.llm import bpe, chat, decontaminate, edit, language, lm, quality, simhash, token_counts
+from fareloom.llm.oracle import ORACLES
 from fareloom.llm.common import documents, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,10 +22,23 @@ def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(documents(spark, sf_dir))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained_items(
+        documents(spark, sf_dir), table(spark, sf_dir, "benchmark")
+    )
+    return found.drop("text_hash")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(documents(spark, sf_dir)).drop("component")
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(chat.example(turns))
+    return chat.read_back(chat.format_conversations(turns))
+
+
 def op6_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit.compare_neighbours(documents(spark, sf_dir))
 
@@ -51,9 +65,9 @@ def _shipped(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    found = (op1_quality, op2_lm, op4_simhash, op6_edit_fingerprints, op7_bpe, op9_language, op10_token_counts)
+    found = (op1_quality, op2_lm, op3_decontaminate, op4_simhash, op5_chat, op6_edit_fingerprints, op7_bpe, op9_language, op10_token_counts)
     return {query.__name__: _shipped(query) for query in found}
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
