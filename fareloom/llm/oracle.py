@@ -1,5 +1,7 @@
 """SQL for DuckDB of the text queries that SQL can express."""
 
+from fareloom.llm.licenses import FRAGMENT, RULES, SENTENCES, sequence
+
 DECONTAMINATE = r"""
 WITH doc_words AS (
     SELECT doc_id, text, list_filter(
@@ -26,4 +28,54 @@ FROM found JOIN sizes USING (item_id)
 WHERE n_found >= n_item * 0.8 - 1e-9
 """
 
-ORACLES = {"op3_decontaminate": DECONTAMINATE}
+
+def licenses() -> str:
+    """A common table expression per rule, as the rules take from each other."""
+    known = ", ".join(f"'{sentence}': '{name}'" for sentence, name in SENTENCES.items())
+
+    def names(lines: str) -> str:
+        cut = f"regexp_replace({lines}, '([.!?])[ \\t\\r\\n]+', '\\1' || chr(10), 'g')"
+        plain = f"regexp_replace(lower({cut}), '[^a-z0-9\\n]+', ' ', 'g')"
+        found = f"list_transform(string_split({plain}, chr(10)), lambda s: known[trim(s)])"
+        marked = f"list_transform(list_filter({found}, lambda n: n IS NOT NULL), lambda n: '<' || n || '>')"
+        return f"coalesce(array_to_string({marked}, ''), '')"
+
+    steps, columns = [], {}
+    for i, (licence, rule) in enumerate(RULES):
+        form = sequence(rule)
+        parts = []
+        for reading in ("lines", "wrapped"):
+            rest = f"replace({reading}, '{form}', ' ')"
+            parts.append(f"{rest} AS {reading}")
+            parts.append(
+                f"(length({reading}) - length({rest})) // {len(form) - 1} AS {reading}_{i}"
+            )
+            columns.setdefault((licence, reading), []).append(f"{reading}_{i}")
+        before = f"step_{i - 1}" if i else "read"
+        steps.append(
+            f"step_{i} AS (SELECT * EXCLUDE (lines, wrapped), {', '.join(parts)} FROM {before})"
+        )
+    last = f"step_{len(RULES) - 1}"
+    selects = [
+        f"SELECT doc_id, '{licence}' AS license, greatest("
+        + ", ".join("+".join(columns[licence, r]) for r in ("lines", "wrapped"))
+        + f") AS n_matches FROM {last}"
+        for licence in dict.fromkeys(name for name, _ in RULES)
+    ]
+    left = [f"length({r}) - length(replace({r}, '<', ''))" for r in ("lines", "wrapped")]
+    selects.append(
+        f"SELECT doc_id, '{FRAGMENT}' AS license, least({', '.join(left)}) AS n_matches FROM {last}"
+    )
+    wrapped = "translate(text, chr(13) || chr(10), '  ')"
+    read = (
+        f"SELECT doc_id, {names('text')} AS lines, {names(wrapped)} AS wrapped "
+        f"FROM documents, (SELECT MAP {{{known}}} AS known) WHERE text IS NOT NULL"
+    )
+    return (
+        f"WITH read AS ({read}), {', '.join(steps)} "
+        f"SELECT doc_id, license, CAST(n_matches AS BIGINT) AS n_matches "
+        f"FROM ({' UNION ALL '.join(selects)}) WHERE n_matches > 0"
+    )
+
+
+ORACLES = {"op3_decontaminate": DECONTAMINATE, "op8_licenses": licenses()}

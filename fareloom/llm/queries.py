@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import bpe, chat, decontaminate, edit, language, lm, quality, simhash, token_counts
+from fareloom.llm import bpe, chat, decontaminate, edit, language, licenses, lm, quality, simhash, token_counts
 from fareloom.llm.oracle import ORACLES
 from fareloom.llm.common import documents, ship, table
 
@@ -47,6 +47,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents(spark, sf_dir))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language.predict(docs, language.train(docs))
@@ -65,7 +69,7 @@ def _shipped(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    found = (op1_quality, op2_lm, op3_decontaminate, op4_simhash, op5_chat, op6_edit_fingerprints, op7_bpe, op9_language, op10_token_counts)
+    found = (op1_quality, op2_lm, op3_decontaminate, op4_simhash, op5_chat, op6_edit_fingerprints, op7_bpe, op8_licenses, op9_language, op10_token_counts)
     return {query.__name__: _shipped(query) for query in found}
 
 
