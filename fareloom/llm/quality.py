@@ -60,7 +60,8 @@ def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     owner = np.cumsum(ends) - 1
     starts = np.flatnonzero(ends)[:-1]
     place = (np.arange(len(codes)) - np.append(starts, len(codes))[owner]).astype(np.uint64)
-    whole = np.add.reduceat(_mix(codes * np.uint64(0x10001) + (place << np.uint64(40))), starts)
+    mixed = _mix(codes * np.uint64(0x10001) + (place << np.uint64(40)))
+    whole = np.add.reduceat(mixed[:-1], starts)  # the last break belongs to no word
     found, owners = [_bucket(whole)], [np.arange(len(words))]
     for n in LENGTHS:
         last = len(codes) - n + 1
