@@ -19,7 +19,6 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
-from unicodedata import is_normalized, normalize
 
 import numpy as np
 import public_tokenizers
@@ -27,6 +26,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, Tokenizer
+from tokenizers.pre_tokenizers import Split
 
 from fareloom.llm.common import batches, struct_array
 
@@ -62,6 +63,8 @@ class Vocabulary:
         self.tokens = {i: token for token, i in (self.ids | self.special).items()}
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(pattern)
+        self.split = Split(Regex(pattern), "removed", invert=True).pre_tokenize_str
+        self.normalize = Tokenizer.from_file(path).normalizer.normalize_str
         self.splitter = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         letters = byte_letters()
         self.inner = np.array([self.ids[x] for x in letters], np.int64)
@@ -208,17 +211,20 @@ class Encoder:
         return found
 
     def _split(self, word: str) -> list[str]:
-        """The pieces of a word, by the vocabulary's pattern; letters need none."""
-        if not word.isascii():
-            word = word if is_normalized("NFC", word) else normalize("NFC", word)
-            if "Σ" in word:  # its lower case would depend on the place
-                return self.vocabulary.pattern.findall("".join([c.lower() for c in word]))
-        word = word.lower()
+        """The pieces of a word, by the vocabulary's pattern; letters need none.
+
+        What a letter is and its lower case depend on the version of Unicode, so
+        other than ASCII words are normalised and split by the library's parts.
+        """
+        plain = word.isascii()
+        word = word.lower() if plain else self.vocabulary.normalize(word)
         if word.isalpha():
             return [word]
         if word[-1] in ",." and word[:-1].isalpha():
             return [word[:-1], word[-1]]
-        return self.vocabulary.pattern.findall(word)
+        if plain:
+            return self.vocabulary.pattern.findall(word)
+        return [piece for piece, _ in self.vocabulary.split(word)]
 
     def learn(self, words: set[str]) -> None:
         """Encode words that are not known yet."""
