@@ -32,6 +32,12 @@ def words(text: Column) -> Column:
     return F.when(plain != "", F.split(plain, " ")).otherwise(F.expr("array()"))
 
 
+def read_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column out of a one-row generator. A plain projection would be copied
+    into what refers to it, and be worked out again for every place of a text."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _per_start(found: str, size: int, shingle: str) -> Column:
     """An expression per place of a run of `size` words; `i` is the place."""
     starts = f"sequence(1, size({found}) - {size - 1})"
@@ -44,6 +50,10 @@ def hashes(found: str, size: int = WORDS) -> Column:
     return _per_start(found, size, f"xxhash64(slice({found}, i, {size}))").cast("array<bigint>")
 
 
+def _upto(values: Column, most: int) -> Column:
+    return F.filter(values, lambda h: h <= most)
+
+
 def shingles(found: str, size: int = WORDS) -> Column:
     text = f"array_join(slice({found}, i, {size}), ' ')"
     return F.array_distinct(_per_start(found, size, text).cast("array<string>"))
@@ -51,7 +61,8 @@ def shingles(found: str, size: int = WORDS) -> Column:
 
 def _items(benchmark: DataFrame, size: int) -> DataFrame:
     """Items with their shingle length, shingles and hashes."""
-    own = benchmark.select("item_id", words(F.col("text")).alias("w")).where("size(w) > 0")
+    own = benchmark.select("item_id", "text")
+    own = read_once(own, "w", words(F.col("text"))).where("size(w) > 0")
     width = F.least(F.size("w"), F.lit(size))
     by_width = [
         own.where(width == n).select(
@@ -89,14 +100,14 @@ def contained_items(
     keyed = docs.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), "text"
     ).where("text IS NOT NULL")
-    read = keyed.select("doc_id", "text_hash", words(F.col("text")).alias("w"))
+    read = read_once(keyed, "w", words(F.col("text"))).select("doc_id", "text_hash", "w")
     found = None
     for width, most in sorted(bounds.items()):
         looked_up = read.select(
             "doc_id",
             "text_hash",
             F.greatest(F.size("w") - (width - 1), F.lit(0)).alias("places"),
-            F.explode(F.filter(hashes("w", width), lambda h, most=most: h <= most)).alias("h"),
+            F.explode(_upto(hashes("w", width), most)).alias("h"),
         )
         own = sketches.where(F.col("width") == width).select("item_id", "q", "h")
         hits = looked_up.join(own, "h").where(F.col("places") >= F.ceil(F.col("q") * share - 1e-9))
@@ -118,11 +129,12 @@ def _verified(found, keyed, items, share, widths) -> DataFrame:
         .join(keyed.alias("k"), same)
         .select("f.doc_id", "f.text_hash", "f.item_id", "k.text")
         .join(items.select("item_id", "width", "q", "item_shingles"), "item_id")
-        .withColumn("w", words(F.col("text")))
     )
+    pairs = read_once(pairs, "w", words(F.col("text")))
     own = F.lit(None).cast("array<string>")
     for width in widths:
         own = F.when(F.col("width") == width, shingles("w", width)).otherwise(own)
+    # The shingles are read once too: for the number found and for the rule on it.
     counted = pairs.select(
         "doc_id",
         "text_hash",
