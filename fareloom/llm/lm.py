@@ -47,7 +47,7 @@ BLOCK = 1024  # rows of the weight table that are averaged together
 STEP_TOKENS = 4096
 RATE = 0.15
 PARTS = ((0, 1), (1, 4), (4, 16))  # sixteenths of the training rows in each round
-FLUSH_WORDS = 200_000
+FLUSH_WORDS = 500_000
 REMEMBERED_WORDS = 200_000
 _TRIM = b".,;:!?*&$%#|"
 
@@ -56,10 +56,13 @@ def ending(word: bytes) -> bytes:
     return word.rstrip(_TRIM)[-2:]
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
-    return (x ^ (x >> np.uint64(31))) & np.uint64(BUCKETS - 1)
+def _mix(x: np.ndarray, kind: int) -> np.ndarray:
+    """Bucket of a feature, given as a number below 2^32, of one kind."""
+    x = (x + np.uint32(kind * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
+    x ^= x >> np.uint32(13)
+    x *= np.uint32(0xC2B2AE35)
+    x ^= x >> np.uint32(16)
+    return x & np.uint32(BUCKETS - 1)
 
 
 class Words(dict):
@@ -122,8 +125,8 @@ class Lexicon:
 
     def contexts(self, numbers: np.ndarray, starts: np.ndarray):
         """Feature rows of each token's class (without bias) and member."""
-        atoms = self.atom_of[numbers].astype(np.uint64)
-        start = np.uint64(ATOMS + WIDTH)
+        atoms = self.atom_of[numbers].astype(np.uint32)
+        start = np.uint32(ATOMS + WIDTH)
         last, before = np.full(len(atoms), start), np.full(len(atoms), start)
         last[1:], before[2:] = atoms[:-1], atoms[:-2]
         last[starts] = start
@@ -131,16 +134,11 @@ class Lexicon:
         second = starts + 1
         before[second[second < len(atoms)]] = start
         classes = self.class_of[numbers]
-        one, two = np.uint64(1 << 40), np.uint64(2 << 40)
         rows = np.stack(
-            [
-                _mix(last + one),
-                _mix(before + two),
-                _mix(last * np.uint64(4096) + before),
-            ]
-        ).astype(np.int64)
-        inside = _mix(last * np.uint64(64) + classes.astype(np.uint64) + (one + two))
-        return rows, inside.astype(np.int64) + BUCKETS, classes
+            [_mix(last, 1), _mix(before, 2), _mix(last * np.uint32(4096) + before, 3)]
+        )
+        inside = _mix(last * np.uint32(64) + classes.astype(np.uint32), 4) + np.uint32(BUCKETS)
+        return rows, inside, classes
 
     def set_shares(self, rest: np.ndarray) -> None:
         """Shares from the members' counts and the mass of each class's others."""
@@ -154,16 +152,19 @@ class Lexicon:
         self.shares = np.concatenate(rows).astype(np.float32)
 
 
-def _softmax(weights: np.ndarray, start: np.ndarray, rows: Iterable[np.ndarray]) -> np.ndarray:
+_ONES = np.ones(WIDTH, np.float32)
+
+
+def _exponentials(weights: np.ndarray, start: np.ndarray, rows: Iterable[np.ndarray]):
+    """Exponentials of the logits, up to a factor, and their sum per token."""
     rows = iter(rows)
     logits = weights[next(rows)]
     for row in rows:
         logits += weights[row]
     logits += start
-    logits -= logits.max(axis=1, keepdims=True)
+    logits -= logits.max()
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    return logits
+    return logits, np.maximum(logits @ _ONES, np.float32(1e-30))
 
 
 def log_probabilities(lexicon: Lexicon, weights: np.ndarray, numbers, starts) -> np.ndarray:
@@ -173,10 +174,10 @@ def log_probabilities(lexicon: Lexicon, weights: np.ndarray, numbers, starts) ->
     for at in range(0, len(numbers), STEP_TOKENS):
         cut = slice(at, at + STEP_TOKENS)
         own, place = classes[cut], np.arange(len(classes[cut]))
-        upper = _softmax(weights, lexicon.shares[WIDTH], rows[:, cut])
-        lower = _softmax(weights, lexicon.shares[own], inside[None, cut])
-        out[cut] = np.log10(upper[place, own] + 1e-12)
-        out[cut] += np.log10(lower[place, lexicon.member_of[numbers[cut]]] + 1e-12)
+        upper, total = _exponentials(weights, lexicon.shares[WIDTH], rows[:, cut])
+        out[cut] = np.log10(upper[place, own] / total + 1e-12)
+        lower, total = _exponentials(weights, lexicon.shares[own], inside[None, cut])
+        out[cut] += np.log10(lower[place, lexicon.member_of[numbers[cut]]] / total + 1e-12)
     return out
 
 
@@ -188,15 +189,19 @@ class Trainer:
         self.met = np.zeros(ROWS)
 
     def _descend(self, start: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> None:
-        error = _softmax(self.weights, start, rows)
+        error, total = _exponentials(self.weights, start, rows)
+        error /= total[:, None]
         error[np.arange(len(wanted)), wanted] -= 1
-        flat = rows.ravel().astype(np.uint16)
-        order = np.argsort(flat, kind="stable")
-        used, starts = np.unique(flat[order], return_index=True)
-        step = np.add.reduceat(error[order % len(wanted)], starts, axis=0)
-        self.met[used] += np.diff(np.append(starts, len(flat)))
-        self.squares[used] += np.einsum("ij,ij->i", step, step) / WIDTH
-        self.weights[used] -= RATE * step / np.sqrt(self.squares[used])[:, None]
+        for row in rows.astype(np.uint16):
+            order = np.argsort(row, kind="stable")
+            in_order = row[order]
+            starts = np.flatnonzero(np.diff(in_order.astype(np.int32), prepend=-1))
+            used = in_order[starts]
+            step = np.add.reduceat(error[order], starts, axis=0)
+            self.met[used] += np.diff(starts, append=len(row))
+            self.squares[used] += np.einsum("ij,ij->i", step, step) / WIDTH
+            step *= (RATE / np.sqrt(self.squares[used])).astype(np.float32)[:, None]
+            self.weights[used] -= step
 
     def learn(self, numbers: np.ndarray, starts: np.ndarray) -> None:
         rows, inside, classes = self.lexicon.contexts(numbers, starts)
