@@ -1,16 +1,18 @@
 """Distribution profile with exact quantiles that scales out.
 
 Spark's own exact percentile keeps all distinct values of a group in one task.
-Here the values are counted first, and the ranks are then found bin by bin.
+Here the values are counted and put in ranges, and ranks are found in these.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareloom.session import fresh_path
+
 PER_MILLE = (250, 500, 750, 950)  # quantiles, in thousandths
 
 
@@ -29,71 +31,78 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def value_bin(value: Column) -> Column:
-    """A bin number that never falls as the value grows.
+def in_ranges(counts: DataFrame) -> DataFrame:
+    """The counts in ranges of (metric, value) of about the same size, as a table.
 
-    Sixteen bins per doubling of the value: no more than about 33,000 bins over
-    the whole range of a double, and well under 200 for fares and minutes.
+    Values are distinct, so a range never holds much more than another; a column
+    of any spread is cut into as many. The table keeps the ranges as they are.
     """
-    steps = F.floor(F.log2(F.abs(value) + 1) * 16).cast("bigint")
-    # Stated as never null, so that no null filter creeps into one of the uses
-    # of the counts and keeps their shuffle from being shared.
-    return F.coalesce(F.when(value < 0, -steps).otherwise(steps), F.lit(0).cast("bigint"))
+    spark = counts.sparkSession
+    path = fresh_path(spark, "value-counts")
+    ranged = counts.repartitionByRange("metric", "value")
+    ranged.withColumn("part", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def summary(counts: DataFrame) -> DataFrame:
-    """Count, extremes, mean and standard deviation per metric."""
+    """Count, extremes, mean and standard deviation per metric.
+
+    Squares are taken of distances from the mean, which is known by then.
+    """
     n, value = F.col("n"), F.col("value")
-    moments = counts.groupBy("metric").agg(
+    first = counts.groupBy("metric").agg(
         F.sum("n").alias("n_values"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
-        F.sum(value * n).alias("first_moment"),
-        F.sum(value * value * n).alias("second_moment"),
+        (F.sum(value * n) / F.sum("n")).alias("mean_value"),
+    )
+    # One row per column, so the broadcast is bounded.
+    from_mean = value - F.col("mean_value")
+    spread = (
+        counts.join(F.broadcast(first.select("metric", "mean_value")), "metric")
+        .groupBy("metric")
+        .agg(F.sum(n * from_mean * from_mean).alias("spread"))
     )
-    total, first, second = (F.col(c) for c in ("n_values", "first_moment", "second_moment"))
-    spread = F.greatest(second - first * first / total, F.lit(0.0))
-    return moments.select(
+    return first.join(spread, "metric").select(
         "metric",
         "n_values",
         "min_value",
         "max_value",
-        (first / total).alias("mean_value"),
-        F.sqrt(F.try_divide(spread, total - 1)).alias("stddev_value"),
+        "mean_value",
+        F.sqrt(F.try_divide(F.col("spread"), F.col("n_values") - 1)).alias("stddev_value"),
     )
 
 
-def quantiles(counts: DataFrame, per_mille: Sequence[int] = PER_MILLE) -> DataFrame:
-    """Exact discrete quantiles per metric, one row each.
+def quantiles(ranged: DataFrame, per_mille: Sequence[int] = PER_MILLE) -> DataFrame:
+    """Exact discrete quantiles per metric, one row each, from counts in ranges.
 
     A quantile is the least value that at least its share of the rows does not
-    exceed. Windows run over bin totals, whose number is bounded, and inside
-    the few bins that hold a wanted rank; never over all values at once.
+    exceed. Windows run over the totals of ranges, as many as there are tasks,
+    and inside the few ranges that hold a wanted rank; never over all values.
     """
-    binned = counts.withColumn("bin", value_bin(F.col("value")))
-    by_bin = Window.partitionBy("metric").orderBy("bin")
-    bins = (
-        binned.groupBy("metric", "bin")
-        .agg(F.sum("n").alias("in_bin"))
+    by_part = Window.partitionBy("metric").orderBy("part")
+    parts = (
+        ranged.groupBy("metric", "part")
+        .agg(F.sum("n").alias("in_part"))
         .select(
             "metric",
-            "bin",
-            "in_bin",
-            F.sum("in_bin").over(by_bin).alias("upto"),
-            F.sum("in_bin").over(Window.partitionBy("metric")).alias("total"),
+            "part",
+            "in_part",
+            F.sum("in_part").over(by_part).alias("upto"),
+            F.sum("in_part").over(Window.partitionBy("metric")).alias("total"),
         )
     )
     wanted = F.explode(F.array(*map(F.lit, per_mille)))
     # One row per metric and quantile at most, so the broadcast is bounded.
     targets = (
-        bins.withColumn("per_mille", wanted)
+        parts.withColumn("per_mille", wanted)
         .withColumn("rank", F.expr("greatest(1, (total * per_mille + 999) div 1000)"))
-        .filter("rank <= upto AND rank > upto - in_bin")
-        .selectExpr("metric", "bin", "per_mille", "rank - upto + in_bin AS nth")
+        .filter("rank <= upto AND rank > upto - in_part")
+        .selectExpr("metric", "part", "per_mille", "rank - upto + in_part AS nth")
     )
-    inside = Window.partitionBy("metric", "bin", "per_mille").orderBy("value")
+    inside = Window.partitionBy("metric", "part", "per_mille").orderBy("value")
     return (
-        binned.join(F.broadcast(targets), ["metric", "bin"])
+        ranged.join(F.broadcast(targets), ["metric", "part"])
         .withColumn("seen", F.sum("n").over(inside))
         .filter(F.col("seen") >= F.col("nth"))
         .groupBy("metric", "per_mille")
@@ -105,7 +114,7 @@ def distribution(
     df: DataFrame, columns: Sequence[str], per_mille: Sequence[int] = PER_MILLE
 ) -> DataFrame:
     """One row per column: summary and quantiles `p250`, `p500` and so on."""
-    counts = value_counts(df, columns)
+    counts = in_ranges(value_counts(df, columns))
     wide = (
         quantiles(counts, per_mille)
         .groupBy("metric")

@@ -148,9 +148,29 @@ def reject_reasons(df: DataFrame, rules: Sequence[Rule], *keys: str) -> DataFram
     return combinations.select(*keys, names, "n_rows")
 
 
+def _text(name: str, kind: T.DataType) -> Column:
+    """A value as text that other engines write alike: whole numbers and strings.
+
+    Fractions count in millionths, times in microseconds. The name stands before
+    it, and alone for a null.
+    """
+    value = F.col(f"`{name}`")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        whole = F.round(value * 1_000_000).cast("decimal(38,0)").cast("string")
+        text = F.when(F.isnan(value) | (F.abs(value) > 1e30), value.cast("string")).otherwise(whole)
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        text = F.unix_micros(value.cast("timestamp")).cast("string")
+    else:
+        text = value.cast("string")
+    return F.coalesce(F.concat(F.lit(f"{name}="), text), F.lit(name))
+
+
 def checksum(df: DataFrame, *keys: str) -> DataFrame:
-    """Checksum of the rows per key, the same for every row order."""
-    digest = F.xxhash64(*(F.col(name) for name in df.columns)).cast("decimal(38,0)")
+    """Checksum of the rows per key, the same for every order of rows and columns."""
+    fields = sorted(df.schema, key=lambda f: f.name)
+    row = F.concat_ws("|", *(_text(f.name, f.dataType) for f in fields))
+    number = F.conv(F.substring(F.md5(row.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(digest).cast("decimal(38,0)").alias("checksum")
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(number).cast("decimal(38,0)").cast("string").alias("checksum"),
     )

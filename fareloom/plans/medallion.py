@@ -6,8 +6,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from fareloom.contract import BOUNDS, FLEETS, PARTITIONING, Bound, Fleet
+from fareloom.contract import BOUNDS, FLEET, FLEETS, MONTH, PARTITIONING, YEAR, Bound, Fleet
 from fareloom.labels import PORTUGUESE, LabelSet
 from fareloom.operators.derive import add_categories, add_time_columns, impute_passengers
 from fareloom.operators.quality import applicable, bronze_rules, keep_rows, silver_rules
@@ -22,6 +23,9 @@ from fareloom.operators.unify import (
 from fareloom.sinks.tables import Lake, WriteReport
 
 
+RAW_PARTITIONING = (FLEET, "year_month")  # as trip files are delivered
+
+
 def unify(frames: Mapping[str, DataFrame], extra=()) -> DataFrame:
     """One canonical frame from the fleets' own frames, keyed by fleet name."""
     return union_all(
@@ -72,7 +76,7 @@ def refresh(
     over the layout of bronze and never needs a shuffle.
     """
     layers = layers or Layers()
-    reports = {"raw": lake.write("raw", raw)}
+    reports = {"raw": lake.write("raw", raw, RAW_PARTITIONING)}
     reports["bronze"] = lake.write(
         "bronze", layers.bronze(unify_mixed(lake.read("raw"))), PARTITIONING, rebalance=not by_month
     )
@@ -81,6 +85,61 @@ def refresh(
     return reports
 
 
+def refresh_partitions(
+    lake: Lake, new_raw: DataFrame, layers: Layers | None = None
+) -> dict[str, WriteReport | None]:
+    """Bring all layers up to date with some trip files, new or delivered again.
+
+    `new_raw` has all rows of its fleets' months, which take the place of what
+    raw has of them. Above raw, only those months of pickup are computed anew
+    that trips of the new files, or of the ones they replace, belong to, and only
+    they are written; trips in a wrong month's file are found by their pickup.
+    Gold, a few thousand cells a year, takes over its other months.
+    """
+    layers = layers or Layers()
+    keys = list(PARTITIONING)
+    months = new_raw.select(*RAW_PARTITIONING).distinct()
+    before = lake.read("raw").join(months, list(RAW_PARTITIONING), "left_semi")
+    old = layers.bronze(unify_mixed(before)).select(*keys).distinct()
+    # One record per fleet and month, old and new: what the catalogue holds too.
+    touched = {tuple(row) for row in old.collect()}
+    reports: dict[str, WriteReport | None] = {"raw": lake.write_partitions("raw", new_raw)}
+    fresh = lake.read("raw").join(months, list(RAW_PARTITIONING), "left_semi")
+    new = layers.bronze(unify_mixed(fresh)).select(*keys).distinct()
+    touched |= {tuple(row) for row in new.collect()}
+    if not touched:
+        return reports
+    raw = lake.read("raw").where(F.col(FLEET).isin(*{fleet for fleet, _, _ in touched}))
+    bronze = _of_months(layers.bronze(unify_mixed(raw)), touched)
+    for layer, rows in (
+        ("bronze", lambda: bronze),
+        ("silver", lambda: layers.silver(_of_months(lake.read("bronze"), touched))),
+    ):
+        reports[layer] = lake.write_partitions(layer, rows())
+        written = lake.spark.read.schema(lake.read(layer).schema).parquet(reports[layer].path)
+        left = {tuple(row) for row in written.select(*keys).distinct().collect()}
+        lake.drop_partitions(layer, sorted(touched - left))
+    wanted = _of_months(lake.read("silver"), touched)
+    kept = lake.read("gold").join(_months(lake, touched), keys, "left_anti")
+    gold = kept.unionByName(layers.gold(wanted))
+    reports["gold"] = lake.write("gold", gold.select(*lake.read("gold").columns))
+    return reports
+
+
+def _months(lake_or_frame, touched) -> DataFrame:
+    spark = getattr(lake_or_frame, "spark", None) or lake_or_frame.sparkSession
+    return spark.createDataFrame(
+        sorted(touched), f"{FLEET} string, {YEAR} int, {MONTH} int"
+    )
+
+
+def _of_months(frame: DataFrame, touched) -> DataFrame:
+    """Rows of some fleets' months: partitions are pruned by year and month."""
+    years, months = ({t[i] for t in touched} for i in (1, 2))
+    near = frame.where(F.col(YEAR).isin(*years) & F.col(MONTH).isin(*months))
+    return near.join(_months(frame, touched), list(PARTITIONING), "left_semi")
+
+
 def maintain(lake: Lake) -> dict[str, dict[str, int]]:
     """Compact every layer where it has small files, and analyse it."""
     statistics = {}

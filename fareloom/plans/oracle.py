@@ -27,7 +27,6 @@ trips AS (
              CASE WHEN event_id % 19 = 0 THEN NULL
                   ELSE CAST((event_id * 31) % 1100 AS DOUBLE) / 10 END AS distance
       FROM events
-      WHERE event_type IN ('view', 'click', 'purchase', 'signup', 'error')
     )
   )
 )"""
@@ -316,6 +315,31 @@ EVOLUTION = (
 )
 PICKUP, DROPOFF = "pickup AS tpep_pickup_datetime", "dropoff AS tpep_dropoff_datetime"
 FILE = "fleet || '_tripdata_' || file_month || '.parquet'"
+LINE_BYTES = "CAST(sum(strlen(concat_ws(',', event_id, fleet, user_id)) + 1) AS BIGINT)"
+MANIFEST = (
+    f"SELECT {FILE} AS source_file, fleet AS taxi_type, file_month AS year_month, "
+    f"{LINE_BYTES} AS n_bytes, {LINE_BYTES} / 1048576 AS size_mb FROM trips GROUP BY fleet, file_month"
+)
+# The row that the checksum digests: names in order, each with its value if it has one.
+CHECKED = {
+    "VendorID": "CAST(user_id AS VARCHAR)",
+    "event_id": "CAST(event_id AS VARCHAR)",
+    "fare_amount": "CAST(CAST(round(value * 1000000) AS BIGINT) AS VARCHAR)",
+    "passenger_count": "CAST(CAST(round(pax * 1000000) AS BIGINT) AS VARCHAR)",
+    "source_file": FILE,
+    "taxi_type": "fleet",
+    "total_amount": "CAST(CAST(round(amount * 1000000) AS BIGINT) AS VARCHAR)",
+    "tpep_dropoff_datetime": "CAST(epoch_us(dropoff) AS VARCHAR)",
+    "tpep_pickup_datetime": "CAST(epoch_us(pickup) AS VARCHAR)",
+    "trip_distance": "CAST(CAST(round(distance * 1000000) AS BIGINT) AS VARCHAR)",
+    "year_month": "file_month",
+}
+ROW_TEXT = " || '|' || ".join(
+    f"coalesce('{name}=' || {value}, '{name}')" for name, value in CHECKED.items()
+)
+CHECKSUM = f"""SELECT fleet AS taxi_type, file_month AS year_month, count(*) AS n_rows,
+       CAST(sum(CAST('0x' || substr(md5({ROW_TEXT}), 1, 15) AS BIGINT)) AS VARCHAR) AS checksum
+FROM trips GROUP BY fleet, file_month"""
 KEPT = (
     "event_id, fleet AS taxi_type, amount AS total_amount, pax AS passenger_count, "
     "minutes AS trip_duration_minutes"
@@ -374,9 +398,13 @@ def sources_and_sinks() -> dict[str, str]:
     return {
         "scan_parquet": over(
             "trips",
-            f"""SELECT event_id, user_id AS "VendorID", pax AS passenger_count,
-       amount AS total_amount, {PICKUP}, {DROPOFF}, distance AS trip_distance, value AS fare_amount
-FROM trips WHERE fleet = 'yellow'""",
+            f"""SELECT event_id, user_id AS "VendorID", pax AS passenger_count, amount AS total_amount,
+       CASE WHEN fleet = 'yellow' THEN pickup END AS tpep_pickup_datetime,
+       CASE WHEN fleet = 'yellow' THEN dropoff END AS tpep_dropoff_datetime,
+       CASE WHEN fleet = 'green' THEN pickup END AS lpep_pickup_datetime,
+       CASE WHEN fleet = 'green' THEN dropoff END AS lpep_dropoff_datetime,
+       distance AS trip_distance, value AS fare_amount
+FROM trips""",
         ),
         "ingest_multi_source": over(
             "trips",
@@ -396,6 +424,12 @@ SELECT 'green_tripdata_2024-06.parquet', 'green', '2024-06', 'failed', 0""",
        count(*) AS n_rows
 FROM trips GROUP BY fleet, file_month""",
         ),
+        "manifest_sizes": over("trips", MANIFEST),
+        "manifest_total": over(
+            "trips",
+            f"SELECT count(*) AS n_entries, sum(size_mb) AS total_mb FROM ({MANIFEST})",
+        ),
+        "refresh_new_files": over("gold", rounded_gold()),
         "manifest_missing": over(
             "trips",
             """SELECT taxi_type, year_month, taxi_type || '_tripdata_' || year_month || '.parquet' AS source_file
@@ -469,16 +503,16 @@ def unification() -> dict[str, str]:
             f"{PICKUP}, {DROPOFF}, distance AS trip_distance, value AS fare_amount FROM trips",
         ),
         "standardize_schema": over(
-            "trips", f"SELECT {contract}, event_id FROM trips WHERE fleet = 'green'"
+            "trips", f"SELECT {contract}, event_id FROM trips"
         ),
         "split_rename_union": derived(f"fleet AS taxi_type, {PICKUP}, {DROPOFF}"),
         "fill_missing_columns": over(
             "trips",
             f"""SELECT event_id, user_id AS "VendorID", CAST(NULL AS DOUBLE) AS passenger_count,
        amount AS total_amount, {PICKUP}, CAST(NULL AS TIMESTAMP) AS tpep_dropoff_datetime
-FROM trips WHERE fleet = 'yellow'""",
+FROM trips""",
         ),
-        "project_contract": over("trips", f"SELECT {contract} FROM trips WHERE fleet = 'yellow'"),
+        "project_contract": over("trips", f"SELECT {contract} FROM trips"),
         "contract_check": over("trips", union(checks)),
         "distinct_sources": over("trips", "SELECT DISTINCT fleet AS taxi_type FROM trips"),
     }
@@ -646,8 +680,7 @@ WHERE reasons <> '' GROUP BY taxi_type, reasons""",
 
 
 def all_oracles() -> dict[str, str]:
-    """Statements by query name. Three queries have none: the two that report
-    file sizes, and the checksum, whose hash function only Spark has."""
+    """Statements by query name."""
     return {
         **sources_and_sinks(),
         **unification(),
@@ -668,4 +701,5 @@ FROM bronze WHERE fleet = 'yellow' AND amount > 0 GROUP BY file_month""",
 FROM bronze WHERE file_month = '2024-05' AND pax > 0 GROUP BY hour(pickup)""",
         ),
         **profiling(),
+        "dq_checksum": over("trips", CHECKSUM),
     }

@@ -32,10 +32,10 @@ from fareloom.operators import profile, quality, unify
 from fareloom.operators.derive import add_categories, add_time_columns, impute_passengers
 from fareloom.operators.distribution import distribution
 from fareloom.plans import answers
-from fareloom.plans.medallion import Layers, refresh
+from fareloom.plans.medallion import Layers, refresh, refresh_partitions
 from fareloom.plans.medallion import unify as unify_fleets
 from fareloom.session import fresh_path
-from fareloom.sinks.tables import Lake, append_with_new_columns, read_merged
+from fareloom.sinks.tables import Lake
 from fareloom.sources import landing
 from fareloom.sources.events import fleet_frame, line_trips, read_events, trips
 
@@ -115,27 +115,23 @@ def ingested(spark: SparkSession, sf_dir: str) -> landing.Ingest:
 
 
 def scan_parquet(spark, sf_dir):
-    entries = landing.landing_entries(spark, landing_folder(spark, sf_dir))
-    paths = [entry.path for entry in entries if entry.fleet == YELLOW.name]
-    return spark.read.parquet(*paths)
+    """The plain scan of both fleets' files, under their own column names."""
+    base = landing_folder(spark, sf_dir)
+    fleets = [spark.read.parquet(f"{base}/{name}") for name in FLEETS]
+    return unify.union_all([frame.drop("entry") for frame in fleets])
 
 
 def ingest_multi_source(spark, sf_dir):
-    result = ingested(spark, sf_dir)
-    rows = result.raw.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"))
-    outcomes = landing.outcome_frame(spark, result.outcomes)
-    return outcomes.join(rows, "source_file", "left").select(
-        "source_file",
-        FLEET,
-        "year_month",
-        "status",
-        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+    outcomes = landing.outcome_frame(spark, ingested(spark, sf_dir).outcomes)
+    return landing.entry_outcomes(outcomes).select(
+        "source_file", FLEET, "year_month", "status", "n_rows"
     )
 
 
 def ingest_success_rate(spark, sf_dir):
     result = ingested(spark, sf_dir)
-    return landing.success_rate(landing.outcome_frame(spark, result.outcomes))
+    outcomes = landing.outcome_frame(spark, result.outcomes)
+    return landing.success_rate(landing.entry_outcomes(outcomes))
 
 
 def provenance_columns(spark, sf_dir):
@@ -156,14 +152,28 @@ def file_name_parse(spark, sf_dir):
     )
 
 
+def text_deliveries(spark: SparkSession, sf_dir: str) -> str:
+    """Every trip's event as a line of uncompressed text, in a folder per trip file."""
+
+    def build() -> str:
+        base = fresh_path(spark, "deliveries")
+        line = F.concat_ws(",", ID, FLEET, VENDOR).alias("line")
+        entry = F.col("source_file").alias("entry")
+        lines = trips(spark, sf_dir).select(entry, line).hint("rebalance", "entry")
+        lines.write.partitionBy("entry").option("compression", "none").text(base)
+        return base
+
+    return _once("deliveries", spark, sf_dir, build)
+
+
 def manifest_sizes(spark, sf_dir):
-    entries = landing.manifest(landing.list_files(spark, landing_folder(spark, sf_dir)))
-    return entries.select("source_file", FLEET, "year_month", "n_files", "size_mb")
+    entries = landing.manifest(landing.list_files(spark, text_deliveries(spark, sf_dir)))
+    return entries.select("source_file", FLEET, "year_month", "n_bytes", "size_mb")
 
 
 def manifest_total(spark, sf_dir):
-    entries = landing.manifest(landing.list_files(spark, landing_folder(spark, sf_dir)))
-    return landing.manifest_total(entries)
+    entries = landing.manifest(landing.list_files(spark, text_deliveries(spark, sf_dir)))
+    return landing.manifest_total(entries).select("n_entries", "total_mb")
 
 
 def manifest_missing(spark, sf_dir):
@@ -240,18 +250,23 @@ def write_partitioned(spark, sf_dir):
 
 
 def schema_merge(spark, sf_dir):
-    """Older files lack the fare column that newer files have."""
-    path = fresh_path(spark, "merged")
-    batches = [
-        fleet_frame(spark, sf_dir, YELLOW).select(ID, AMOUNT),
-        fleet_frame(spark, sf_dir, GREEN).select(ID, AMOUNT, "fare_amount"),
-    ]
-    append_with_new_columns(batches, path)
-    return read_merged(spark, path)
+    """Older partitions lack the fare column that a later write brings."""
+    lake = scratch_lake(spark, "merged")
+    table = trips(spark, sf_dir).select(ID, AMOUNT, FLEET, "fare_amount")
+    lake.write("silver", table.drop("fare_amount"), [FLEET], rebalance=True)
+    lake.write_partitions("silver", table.where(F.col(FLEET) == GREEN.name))
+    return lake.read("silver").select(ID, AMOUNT, "fare_amount")
 
 
-def _files_of(lake: Lake, layer: str) -> DataFrame:
-    return lake.read(layer).groupBy(FLEET, F.col("_metadata.file_path").alias("file"))
+def refresh_new_files(spark, sf_dir):
+    """Gold after new and redelivered files came to layers that stood already."""
+    lake = scratch_lake(spark, "incremental")
+    raw = ingested(spark, sf_dir).raw
+    late = F.col("year_month") >= "2024-05"
+    again = F.col("year_month") == "2024-03"
+    refresh(lake, raw.where(~late).where(~again | (F.col(ID) % 2 == 0)).drop(ID))
+    refresh_partitions(lake, raw.where(late | again).drop(ID))
+    return rounded(lake.read("gold"))
 
 
 def compact_table(spark, sf_dir):
@@ -304,7 +319,11 @@ def union_sources(spark, sf_dir):
 
 
 def standardize_schema(spark, sf_dir):
-    return unify.standardize(tagged_frames(spark, sf_dir)[GREEN.name], GREEN, extra=(ID,))
+    """Each fleet's frame in the contract's form, and both together."""
+    frames = tagged_frames(spark, sf_dir)
+    return unify.union_all(
+        unify.standardize(frame, FLEETS[name], extra=(ID,)) for name, frame in frames.items()
+    )
 
 
 def split_rename_union(spark, sf_dir):
@@ -315,15 +334,16 @@ def split_rename_union(spark, sf_dir):
 
 
 def fill_missing_columns(spark, sf_dir):
-    """A source without passenger count and dropoff gets both as nulls."""
-    source = fleet_frame(spark, sf_dir, YELLOW).drop(PASSENGERS, DROPOFF)
+    """Sources without passenger count and dropoff get both as nulls."""
+    source = trips(spark, sf_dir).drop(PASSENGERS, DROPOFF)
     return unify.fill_missing(source).select(ID, VENDOR, PASSENGERS, AMOUNT, PICKUP, DROPOFF)
 
 
 def project_contract(spark, sf_dir):
     """Columns outside the contract go; absent optional ones stay away."""
-    source = tagged_frames(spark, sf_dir)[YELLOW.name]
-    return unify.project_contract(source.withColumn("unknown_extra", F.lit(1)))
+    source = unify.merge_native_columns(unify.union_all(tagged_frames(spark, sf_dir).values()))
+    source = source.drop(ID).withColumn("unknown_extra", F.lit(1))
+    return unify.project_contract(source)
 
 
 def contract_check(spark, sf_dir):
@@ -426,6 +446,7 @@ def all_queries() -> dict[str, Query]:
         "clustered_write": clustered_write,
         "table_stats": table_stats,
         "gold_sample": gold_sample,
+        "refresh_new_files": refresh_new_files,
         # unification
         "union_sources": union_sources,
         "standardize_schema": standardize_schema,

@@ -2,38 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
-_local_roots: dict[str, str] = {}
+WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in `spark.checkpoint.dir`.
+    """The folder for scratch tables, one rule for every session.
 
-    Only a session that runs in one process may go without that setting; it
-    then gets a temporary folder of its own.
+    It is below the shared folder that the cluster names in `spark.checkpoint.dir`
+    or, without that, below the session's warehouse, which a cluster keeps on
+    shared storage.
     """
-    root = spark.conf.get(SHARED_DIR, None)
-    app = spark.sparkContext.applicationId
-    if root:
-        return f"{root.rstrip('/')}/fareloom-{app}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {SHARED_DIR} to a folder that all executors share")
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="fareloom-")
-    return _local_roots[app]
+    root = spark.conf.get(SHARED_DIR, None) or spark.conf.get(WAREHOUSE)
+    return f"{root.rstrip('/')}/fareloom-{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing was written to before."""
     return f"{shared_root(spark)}/{name}-{uuid4().hex[:12]}"
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on whatever file system its scheme names."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

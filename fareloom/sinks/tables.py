@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from math import ceil
+from urllib.parse import quote, unquote
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fareloom.contract import LAYER_TABLES
 from fareloom.operators.unify import union_all
-from fareloom.session import fresh_path
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+SMALL_SHARE = 4  # a file below a fourth of the target is small
 SHUFFLE_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 SCAN_BYTES, SCAN_TASKS = "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
+WRITTEN = "fareloom.written"  # table property: folders the lake wrote for a table
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder name for null
 
 
 @dataclass(frozen=True)
@@ -30,10 +34,15 @@ class WriteReport:
 class Lake:
     """The layer tables of one schema.
 
-    Tables are external Parquet. Every write goes to a fresh path, and the
-    table or its partition is pointed there when the write is complete. A job
-    that dies half way leaves the old table as it was, readers keep the files
-    they opened, and a table may be rewritten from itself.
+    Tables are external Parquet below the lake's location. Every write goes to a
+    fresh folder there, and the table or its partitions are pointed to it when
+    it is complete, by changing their location. A job that dies half way leaves
+    the table, each partition of it old or new and complete, readers keep the
+    files they opened, and a table may be rewritten from itself. Only if columns
+    change their type, or the partitioning changes, is a table made anew; then
+    `recover` finishes what a job that died left undone.
+
+    Columns are only ever added: older rows have nulls in them.
     """
 
     spark: SparkSession
@@ -78,36 +87,70 @@ class Lake:
         return self._replace(layer, df, partition_by)
 
     def write_partitions(self, layer: str, df: DataFrame) -> WriteReport:
-        """Replace only those partitions of a layer that `df` has rows for."""
-        keys = self.partitioning(layer)
-        path, rows = self._store(layer, df.select(*self.read(layer).columns), keys)
+        """Replace only those partitions of a layer that `df` has rows for.
+
+        New columns are added to the table, and columns that `df` lacks are null.
+        """
+        keys, known = self.partitioning(layer), self.read(layer).schema
+        present = {name.lower() for name in df.columns}
+        fitting = df.select(
+            *(
+                (F.col(f.name) if f.name.lower() in present else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in known
+            ),
+            *(name for name in df.columns if name.lower() not in {f.name.lower() for f in known}),
+        )
+        path, rows = self._store(layer, fitting, keys)
+        self._add_columns(layer, fitting.schema)
         self._point_partitions(layer, keys, path)
+        self._record(layer, path)
         return WriteReport(self.table(layer), path, rows)
 
-    def compact(self, layer: str, target_bytes: int = TARGET_FILE_BYTES) -> WriteReport | None:
-        """Rewrite the partitions that consist of small files; None if none do.
+    def drop_partitions(self, layer: str, values: Sequence[Sequence]) -> None:
+        """Take partitions, given by their values, out of a layer."""
+        keys = self.partitioning(layer)
+        for value in values:
+            texts = [None if v is None else str(v) for v in value]
+            self.spark.sql(f"ALTER TABLE {self.table(layer)} DROP IF EXISTS {self._spec(keys, texts)}")
+        self.spark.catalog.refreshTable(self.table(layer))
+
+    def compact(
+        self, layer: str, target_bytes: int = TARGET_FILE_BYTES, small_bytes: int | None = None
+    ) -> WriteReport | None:
+        """Rewrite the partitions with two or more small files; None if none has.
 
+        A file is small below `small_bytes`, by default a fourth of the target.
         Rows are shuffled to their partitions, and adaptive execution cuts the
         shuffle by the target size: a big partition goes to many tasks, small
         ones share a task. A layer without partitions is looked at as a whole,
         and needs no shuffle: its files are packed into scan tasks of that size.
+        Sizes are set in a session of its own.
         """
         keys = self.partitioning(layer)
-        sizes = self.files(layer).groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), F.avg("length").alias("average")
-        )
-        # One record per partition: as many as there are fleets and months.
-        small = sizes.filter((F.col("n") > 1) & (F.col("average") < target_bytes / 8)).collect()
-        if not small:
+        limit = small_bytes or max(1, target_bytes // SMALL_SHARE)
+        small = self.files(layer).where(F.col("length") < limit)
+        chosen = small.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if chosen.isEmpty():
             return None
-        rows = self.read(layer)
         if not keys:
-            with self._settings({SCAN_BYTES: target_bytes, SCAN_TASKS: 1}):
-                return self._replace(layer, rows, keys)
-        chosen = rows.filter(" OR ".join(f"({self._spec(keys, row, ' AND ')})" for row in small))
-        with self._settings({SHUFFLE_BYTES: target_bytes}):
-            path, count = self._store(layer, chosen.hint("rebalance", *keys), keys)
+            packed = self._apart({SCAN_BYTES: target_bytes, SCAN_TASKS: 1})
+            report = packed._replace(layer, packed.read(layer), keys)
+            self.spark.catalog.refreshTable(self.table(layer))
+            return report
+        apart = self._apart({SHUFFLE_BYTES: target_bytes})
+        # As many records as partitions have small files, as in the catalogue.
+        values = [row.asDict() for row in chosen.select(*keys).collect()]
+        rows = apart.read(layer)
+        for key in keys:  # prunes partitions; the join below chooses among the rest
+            some = {value[key] for value in values}
+            known = F.col(key).isin(*(v for v in some if v is not None))
+            rows = rows.where(known | F.col(key).isNull() if None in some else known)
+        wanted = apart.spark.createDataFrame(values, rows.select(*keys).schema)
+        same = [rows[key].eqNullSafe(wanted[key]) for key in keys]
+        rows = rows.join(wanted, same, "left_semi")
+        path, count = apart._store(layer, rows.hint("rebalance", *keys), keys)
         self._point_partitions(layer, keys, path)
+        self._record(layer, path)
         return WriteReport(self.table(layer), path, count)
 
     def cluster(self, layer: str, *order: str, target_bytes: int = TARGET_FILE_BYTES) -> WriteReport:
@@ -123,24 +166,37 @@ class Lake:
         return self._replace(layer, ranged.sortWithinPartitions(*keys, *order), keys)
 
     def files(self, layer: str) -> DataFrame:
-        """Data files of a layer with partition values and size, from listings."""
-        folders = {file.rpartition("/")[0] for file in self.read(layer).inputFiles()}
-        if not folders:
-            return self.spark.createDataFrame([], "path string, length bigint")
-        listing = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-        return listing.load(sorted(folders)).select(
-            *(
-                F.regexp_extract("path", f"/{key}=([^/]+)/", 1).alias(key)
-                for key in self.partitioning(layer)
-            ),
-            "path",
-            "length",
-        )
+        """Data files of a layer with partition values and size; no column is read."""
+        file = F.col("_metadata")
+        return self.read(layer).select(
+            *self.partitioning(layer),
+            file["file_path"].alias("path"),
+            file["file_size"].alias("length"),
+        ).distinct()
 
     def size(self, layer: str) -> int:
         """Bytes of a layer's data files."""
         return self.files(layer).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
+    def expire(self, layer: str) -> list[str]:
+        """Delete folders that the lake wrote for a layer and that it uses no more.
+
+        Readers that began before the last write may still read them, so this is
+        for a time when none does. Returns the folders deleted.
+        """
+        written = self._written(layer)
+        version = F.regexp_extract("path", f"/({self.tables[layer]}/v-[0-9a-f]+)/", 1)
+        used = {row[0] for row in self.files(layer).select(version).distinct().collect()}
+        used.add("/".join(written[-1].rsplit("/", 2)[1:]) if written else "")
+        old = [path for path in written if "/".join(path.rsplit("/", 2)[1:]) not in used]
+        jvm = self.spark.sparkContext._jvm
+        for path in old:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+            folder.getFileSystem(conf).delete(folder, True)
+        self._set_written(layer, [path for path in written if path not in old])
+        return old
+
     def analyze(self, layer: str) -> dict[str, int]:
         """Compute table statistics and return them."""
         table = self.table(layer)
@@ -169,74 +225,146 @@ class Lake:
             for layer in layers
         )
 
+    def recover(self, layer: str) -> None:
+        """Finish the exchange of tables that a job left half way."""
+        names = {t.name for t in self.spark.catalog.listTables(self.schema)}
+        name = self.tables[layer]
+        if f"{name}__coming" in names:
+            coming = f"`{self.schema}`.`{name}__coming`"
+            if name not in names:
+                self.spark.sql(f"ALTER TABLE {coming} RENAME TO {self.table(layer)}")
+            else:
+                self.spark.sql(f"DROP TABLE {coming}")
+
+    def _apart(self, settings: dict[str, int]) -> Lake:
+        """The same lake in a session of its own, with the settings of this one and some more."""
+        session = self.spark.newSession()
+        for name, value in self.spark.conf.getAll.items():
+            if session.conf.isModifiable(name):
+                session.conf.set(name, value)
+        for name, value in settings.items():
+            session.conf.set(name, str(value))
+        return Lake(session, self.schema, self.location, self.tables)
+
     def _replace(self, layer: str, df: DataFrame, keys: Sequence[str]) -> WriteReport:
         path, rows = self._store(layer, df, keys)
-        self._point(layer, df, keys, path)
+        self.recover(layer)
+        written = self._written(layer)
+        if not self._fits(layer, df.schema, keys):
+            self._make(layer, df.schema, keys, path)
+        else:
+            self._add_columns(layer, df.schema)
+            if keys:
+                self._point_partitions(layer, keys, path, all_of_them=True)
+            else:
+                self.spark.sql(f"ALTER TABLE {self.table(layer)} SET LOCATION '{path}'")
+                self.spark.catalog.refreshTable(self.table(layer))
+        self._set_written(layer, [*written, path])
         return WriteReport(self.table(layer), path, rows)
 
     def _store(self, layer: str, df: DataFrame, keys: Sequence[str]) -> tuple[str, int]:
-        """Write to a fresh path; returns it and the rows counted on the way."""
-        path = fresh_path(self.spark, f"{self.schema}/{self.tables[layer]}")
+        """Write to a fresh folder of the lake; returns it and the rows counted on the way."""
+        path = f"{self.location.rstrip('/')}/{self.tables[layer]}/v-{uuid4().hex[:12]}"
         counted = Observation()
         writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
         (writer.partitionBy(*keys) if keys else writer).parquet(path)
         return path, counted.get["rows"]
 
-    def _point(self, layer: str, df: DataFrame, keys: Sequence[str], path: str) -> None:
-        """Make the table stand for the files below a path.
-
-        The new table is complete before it takes the name of the old one.
-        """
+    def _exists(self, layer: str) -> bool:
+        return layer in self.existing()
+
+    def _fits(self, layer: str, schema: StructType, keys: Sequence[str]) -> bool:
+        """Whether a table can take these columns by adding some."""
+        if not self._exists(layer) or self.partitioning(layer) != list(keys):
+            return False
+        known = {f.name.lower(): f.dataType for f in self.read(layer).schema}
+        return all(known.get(f.name.lower(), f.dataType) == f.dataType for f in schema)
+
+    def _add_columns(self, layer: str, schema: StructType) -> None:
+        known = {name.lower() for name in self.read(layer).columns}
+        new = [f for f in schema if f.name.lower() not in known]
+        if new:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            self.spark.sql(f"ALTER TABLE {self.table(layer)} ADD COLUMNS ({columns})")
+
+    def _make(self, layer: str, schema: StructType, keys: Sequence[str], path: str) -> None:
+        """A new table for the files below a folder, complete before it has its name."""
         table, coming = self.table(layer), f"`{self.schema}`.`{self.tables[layer]}__coming`"
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         partitioned = f"PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)})" if keys else ""
-        self.spark.sql(f"DROP TABLE IF EXISTS {coming}")
         self.spark.sql(
             f"CREATE TABLE {coming} ({columns}) USING parquet {partitioned} LOCATION '{path}'"
         )
         if keys:
-            self.spark.sql(f"MSCK REPAIR TABLE {coming}")
+            self._point_partitions(layer, keys, path, table=coming)
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         self.spark.sql(f"ALTER TABLE {coming} RENAME TO {table}")
 
-    def _point_partitions(self, layer: str, keys: Sequence[str], path: str) -> None:
-        """Make the partitions written below a path stand for those of the table."""
-        table = self.table(layer)
-        files = self.spark.read.format("binaryFile").load(path)
+    def _written(self, layer: str) -> list[str]:
+        if not self._exists(layer):
+            return []
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.table(layer)}").collect()
+        found = {row["key"]: row["value"] for row in rows}
+        return [path for path in found.get(WRITTEN, "").split("\t") if path]
+
+    def _set_written(self, layer: str, paths: Sequence[str]) -> None:
+        value = _literal("\t".join(paths))
+        self.spark.sql(f"ALTER TABLE {self.table(layer)} SET TBLPROPERTIES ('{WRITTEN}' = {value})")
+
+    def _record(self, layer: str, path: str) -> None:
+        self._set_written(layer, [*self._written(layer), path])
+
+    def _folders(self, keys: Sequence[str], path: str) -> list[tuple[tuple, str]]:
+        """Partition values, as text or None, and folder of what a write left.
+
+        Values are read from the folders' names as they stand, never guessed.
+        """
+        listing = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        files = listing.option("pathGlobFilter", "*.parquet").load(path)
         folder = F.regexp_replace("path", "/[^/]+$", "").alias("folder")
-        for row in files.select(*keys, folder).distinct().collect():
-            partition = f"PARTITION ({self._spec(keys, row, ', ')})"
-            location = f"LOCATION '{row['folder']}'"
+        found = []
+        for row in files.select(folder).distinct().orderBy("folder").collect():
+            parts = dict(part.split("=", 1) for part in row["folder"].rsplit("/", len(keys))[1:])
+            texts = (unquote(parts[quote(key)] if quote(key) in parts else parts[key]) for key in keys)
+            found.append((tuple(None if t == NO_VALUE else t for t in texts), row["folder"]))
+        return found
+
+    def _point_partitions(
+        self,
+        layer: str,
+        keys: Sequence[str],
+        path: str,
+        table: str | None = None,
+        all_of_them: bool = False,
+    ) -> None:
+        """Make the partitions written below a folder stand for those of the table;
+        with `all_of_them`, other partitions go."""
+        table = table or self.table(layer)
+        folders = self._folders(keys, path)
+        for values, folder in folders:
+            partition, location = self._spec(keys, values), f"LOCATION {_literal(folder)}"
             self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partition} {location}")
             self.spark.sql(f"ALTER TABLE {table} {partition} SET {location}")
+        if all_of_them:
+            kept = {values for values, _ in folders}
+            for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect():
+                parts = dict(part.split("=", 1) for part in row["partition"].split("/"))
+                texts = tuple(unquote(parts[key]) for key in keys)
+                values = tuple(None if t in (NO_VALUE, "null") and t not in kept else t for t in texts)
+                if values not in kept and texts not in kept:
+                    self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {self._spec(keys, values)}")
         self.spark.catalog.refreshTable(table)
 
     @staticmethod
-    def _spec(keys: Sequence[str], row, separator: str) -> str:
-        return separator.join(f"{key} = '{row[key]}'" for key in keys)
-
-    @contextmanager
-    def _settings(self, values: dict[str, int]) -> Iterator[None]:
-        """Session settings for the time of one write."""
-        before = {name: self.spark.conf.get(name, None) for name in values}
-        for name, value in values.items():
-            self.spark.conf.set(name, str(value))
-        try:
-            yield
-        finally:
-            for name, value in before.items():
-                if value is None:
-                    self.spark.conf.unset(name)
-                else:
-                    self.spark.conf.set(name, value)
-
-
-def append_with_new_columns(frames: Sequence[DataFrame], path: str) -> None:
-    """Append batches to one path, each with the columns it happens to have."""
-    for frame in frames:
-        frame.write.mode("append").parquet(path)
-
-
-def read_merged(spark: SparkSession, path: str) -> DataFrame:
-    """Read a path whose files gained columns over time."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    def _spec(keys: Sequence[str], values: Sequence[str | None]) -> str:
+        pairs = (
+            f"`{key}` = {'NULL' if value is None else _literal(value)}"
+            for key, value in zip(keys, values, strict=True)
+        )
+        return f"PARTITION ({', '.join(pairs)})"
+
+
+def _literal(text: str) -> str:
+    """A SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.contract import (
@@ -10,6 +10,7 @@ from fareloom.contract import (
     DISTANCE,
     DROPOFF,
     FLEET,
+    GREEN,
     PASSENGERS,
     PICKUP,
     VENDOR,
@@ -18,11 +19,14 @@ from fareloom.contract import (
 )
 from fareloom.functions.calendar import year_month
 
-# Which events stand for trips of which fleet.
-FLEET_EVENTS: dict[str, tuple[str, ...]] = {
-    "yellow": ("view", "click", "purchase"),
-    "green": ("signup", "error"),
-}
+# Events that stand for trips of the first fleet; all others, of whatever type or
+# none, are the second one's.
+FIRST_FLEET_EVENTS = ("view", "click", "purchase")
+
+
+def _fleet() -> Column:
+    first = F.col("event_type").isin(*FIRST_FLEET_EVENTS)
+    return F.when(first, YELLOW.name).otherwise(GREEN.name)
 
 
 # Trip columns of one event, with gaps and outliers in them.
@@ -64,18 +68,14 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fleet_frame(spark: SparkSession, sf_dir: str, fleet: Fleet) -> DataFrame:
     """One fleet's trips under the fleet's own column names."""
-    own = read_events(spark, sf_dir).filter(F.col("event_type").isin(*FLEET_EVENTS[fleet.name]))
-    return shape(own, fleet)
+    return shape(read_events(spark, sf_dir).filter(_fleet() == fleet.name), fleet)
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All trips under canonical names, in one scan, with provenance columns."""
-    every_type = [kind for kinds in FLEET_EVENTS.values() for kind in kinds]
-    (first, first_kinds), (second, _) = FLEET_EVENTS.items()
-    fleet = F.when(F.col("event_type").isin(*first_kinds), first).otherwise(second)
-    events = read_events(spark, sf_dir).filter(F.col("event_type").isin(*every_type))
+    events = read_events(spark, sf_dir)
     month = year_month(F.year(PICKUP), F.month(PICKUP))
-    return shape(events.withColumn(FLEET, fleet), YELLOW).withColumns(
+    return shape(events.withColumn(FLEET, _fleet()), YELLOW).withColumns(
         {
             "year_month": month,
             "source_file": F.concat(F.col(FLEET), F.lit("_tripdata_"), month, F.lit(".parquet")),

@@ -5,7 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,26 +17,35 @@ from fareloom.contract import CONTRACT, FLEET, FLEETS, Fleet
 from fareloom.operators.unify import conform, rename_native, union_all
 
 SUFFIX = ".parquet"  # fixed value: trip files are <fleet>_tripdata_<yyyy-MM>.parquet
+UNREADABLE = (PySparkException, Py4JJavaError)  # what reading a bad footer raises
+OK, FAILED, SKIPPED = "ok", "failed", "skipped"
 
 
 @dataclass(frozen=True)
 class Entry:
-    """One manifest entry: the trips of one fleet and month, a file or a folder."""
+    """One delivered file. Fleet, month and name are null if no part of its path
+    has the form of a trip file's name."""
 
-    fleet: str
-    year_month: str
-    file_name: str
+    fleet: str | None
+    year_month: str | None
+    file_name: str | None
     path: str
+    n_bytes: int = 0
 
 
 @dataclass(frozen=True)
 class Outcome:
+    """What became of a file: read (with its rows), failed (with the error), or
+    skipped, as its name says no fleet and month."""
+
     entry: Entry
+    status: str
     error: str | None = None
+    n_rows: int = 0
 
     @property
     def ok(self) -> bool:
-        return self.error is None
+        return self.status == OK
 
 
 @dataclass(frozen=True)
@@ -43,27 +55,34 @@ class Ingest:
 
 
 def entry_name(path: Column) -> Column:
-    """Name of the trip file a path belongs to.
+    """Name of the trip file a path belongs to; null if there is none.
 
-    That is the last segment of the path, or the one before it if a Spark job
-    wrote the entry as a folder of part files. A `key=` in front is left out.
+    That is the last segment of the path that has the form of such a name: the
+    file's own, or that of a folder whose part files make up the delivery. A
+    `key=` in front is left out.
     """
-    last = F.substring_index(path, "/", -1)
-    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-    segment = F.when(last.startswith("part-"), folder).otherwise(last)
-    return F.substring_index(segment, "=", -1)
+    segments = F.reverse(F.split(path, "/"))
+    names = F.transform(segments, lambda s: F.substring_index(s, "=", -1))
+    return F.get(F.filter(names, lambda name: _fits(name)), F.lit(0))
+
+
+def _name_parts(name: Column) -> Column:
+    return F.split(F.regexp_replace(name, r"\.parquet$", ""), "_")
+
+
+def _fits(name: Column) -> Column:
+    return name.endswith(SUFFIX) & (F.size(_name_parts(name)) >= 3)
 
 
 def parse_name(name: Column) -> dict[str, Column]:
     """Fleet and month from a file name; both null if the name has under three parts."""
-    parts = F.split(F.regexp_replace(name, r"\.parquet$", ""), "_")
+    parts = _name_parts(name)
     count = F.size(parts)
     third = F.get(parts, F.lit(2))
     month = F.when(count >= 4, F.concat(third, F.lit("-"), F.get(parts, F.lit(3)))).otherwise(third)
-    fits = name.endswith(SUFFIX) & (count >= 3)
     return {
-        FLEET: F.when(fits, F.get(parts, F.lit(0))),
-        "year_month": F.when(fits, month),
+        FLEET: F.when(_fits(name), F.get(parts, F.lit(0))),
+        "year_month": F.when(_fits(name), month),
     }
 
 
@@ -87,7 +106,6 @@ def manifest(files: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n_files"),
             F.sum("length").alias("n_bytes"),
-            F.min("path").alias("sample_path"),
         )
         .withColumn("size_mb", F.col("n_bytes") / F.lit(1024 * 1024))
     )
@@ -125,14 +143,13 @@ def missing_entries(expected: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def landing_entries(spark: SparkSession, base: str) -> list[Entry]:
-    """The manifest on the driver: one small record per fleet and month."""
-    rows = manifest(list_files(spark, base)).orderBy("source_file").collect()
-    entries = []
-    for row in rows:
-        folder, _, last = row["sample_path"].rpartition("/")
-        path = folder if last.startswith("part-") else row["sample_path"]
-        entries.append(Entry(row[FLEET], row["year_month"], row["source_file"], path))
-    return entries
+    """Every delivered file below a folder: a small record each on the driver,
+    as Spark's own listing of what it reads."""
+    rows = list_files(spark, base).orderBy("path").collect()
+    return [
+        Entry(row[FLEET], row["year_month"], row["source_file"], row["path"], row["length"])
+        for row in rows
+    ]
 
 
 def typed(frame: DataFrame) -> DataFrame:
@@ -143,30 +160,11 @@ def typed(frame: DataFrame) -> DataFrame:
     return frame.selectExpr(*conform(frame, inside), *others)
 
 
-def read_entry(spark: SparkSession, entry: Entry, schema: StructType) -> DataFrame:
-    """One entry under canonical names and types, with where it came from.
-
-    Fleet, month and file name are literals: they cost nothing per row, and a
-    filter on fleet or month drops the scans of all other entries.
-    """
-    fleet = FLEETS.get(entry.fleet, Fleet(entry.fleet))
-    files = rename_native(spark.read.schema(schema).parquet(entry.path), fleet)
-    return typed(
-        files.withColumns(
-            {
-                FLEET: F.lit(entry.fleet),
-                "year_month": F.lit(entry.year_month),
-                "source_file": F.lit(entry.file_name),
-                "ingestion_timestamp": F.current_timestamp(),
-            }
-        )
-    )
-
-
 def with_provenance(files: DataFrame, fleet: Fleet) -> DataFrame:
-    """The same for a frame over many entries, such as a stream of files.
+    """A fleet's files under canonical names and types, with where rows came from.
 
-    File name and month are worked out of the path of each row.
+    The fleet is a literal, so a filter on it drops the scan; file name and month
+    are worked out of the path, so a filter on them leaves out files.
     """
     name = entry_name(F.col("_metadata.file_path"))
     return typed(
@@ -181,44 +179,130 @@ def with_provenance(files: DataFrame, fleet: Fleet) -> DataFrame:
     )
 
 
-def probe(spark: SparkSession, entries: Sequence[Entry], threads: int = 16):
-    """Schema of each entry, or the error that reading its footer raises."""
+def _message(error: Exception) -> str:
+    lines = [line for line in str(error).splitlines() if line.strip(": ")]
+    return f"{type(error).__name__}: {(lines or [''])[0]}"
 
-    def attempt(entry: Entry):
-        try:
-            return spark.read.parquet(entry.path).schema, None
-        except Exception as error:  # any unreadable file is an outcome, not a failure
-            return None, f"{type(error).__name__}: {str(error).splitlines()[0]}"
 
-    with ThreadPoolExecutor(threads) as pool:
-        return list(zip(entries, pool.map(attempt, entries), strict=True))
+def _merge(one: StructType, other: StructType) -> StructType | None:
+    """Both schemas in one; None if a column has two types."""
+    kinds = {f.name: f.dataType for f in one}
+    if any(kinds.get(f.name, f.dataType) != f.dataType for f in other):
+        return None
+    return StructType([*one.fields, *(f for f in other if f.name not in kinds)])
 
 
-def ingest(spark: SparkSession, entries: Iterable[Entry]) -> Ingest:
-    """Read all entries; one that cannot be read is reported and left out.
+def _schemas(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
+    """Files grouped by schemas that have one type per column.
 
-    Columns are renamed and typed per entry before the union, which goes by
-    name, so neither entry order nor a drift of types has an effect.
+    Footers are read by a job over all files. If that fails, for types that differ
+    or a damaged footer, the files are halved until it does not, and groups that
+    agree are put together. Files without a readable footer are in no group.
     """
-    probed = probe(spark, list(entries))
-    outcomes = [Outcome(entry, error) for entry, (_, error) in probed]
-    frames = [
-        read_entry(spark, entry, schema) for entry, (schema, _) in probed if schema is not None
+    reader = spark.read.option("mergeSchema", "true")
+    try:
+        return [(reader.parquet(*paths).schema, list(paths))]
+    except UNREADABLE:
+        if len(paths) == 1:
+            return []
+    groups: list[tuple[StructType, list[str]]] = []
+    half = len(paths) // 2
+    for schema, found in _schemas(spark, paths[:half]) + _schemas(spark, paths[half:]):
+        for i, (known, members) in enumerate(groups):
+            merged = _merge(known, schema)
+            if merged is not None:
+                groups[i] = (merged, members + found)
+                break
+        else:
+            groups.append((schema, found))
+    return groups
+
+
+def _rows_per_file(spark: SparkSession, schema: StructType, paths: Sequence[str]) -> dict[str, int]:
+    """Rows of each readable file that has any, from footers."""
+    files = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*paths)
+    found = files.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    return {_plain(row["path"]): row["n"] for row in found.collect()}
+
+
+def _plain(path: str) -> str:
+    """A path without what differs between listings of one file."""
+    return unquote(path).replace("///", "/", 1)
+
+
+def _probe(spark: SparkSession, path: str) -> str | None:
+    """The error that reading one file's footer raises, if any."""
+    try:
+        spark.read.parquet(path).schema  # noqa: B018
+    except UNREADABLE as error:
+        return _message(error)
+    return None
+
+
+def _outcomes(spark: SparkSession, entries: Sequence[Entry], rows: dict[str, int]) -> list[Outcome]:
+    """A file without rows is empty or damaged: only those are looked at one by one."""
+    silent = [e for e in entries if _plain(e.path) not in rows]
+    with ThreadPoolExecutor(16) as pool:
+        errors = dict(zip(silent, pool.map(lambda e: _probe(spark, e.path), silent), strict=True))
+    return [
+        Outcome(e, FAILED, errors[e]) if errors.get(e) else Outcome(e, OK, None, rows.get(_plain(e.path), 0))
+        for e in entries
     ]
+
+
+def ingest(spark: SparkSession, entries: Iterable[Entry]) -> Ingest:
+    """Read all files, in one scan per fleet and set of column types.
+
+    Every file has an outcome, and a damaged one is left out alone. Columns are
+    renamed and typed before the union, which goes by name: a column that only
+    some files have is null for the others, whatever the order of files.
+    """
+    entries = list(entries)
+    outcomes = [Outcome(e, SKIPPED) for e in entries if e.fleet is None]
+    frames = []
+    for name in sorted({e.fleet for e in entries if e.fleet is not None}):
+        own = [e for e in entries if e.fleet == name]
+        by_path = {e.path: e for e in own}
+        grouped = _schemas(spark, list(by_path))
+        for schema, paths in grouped:
+            rows = _rows_per_file(spark, schema, paths)
+            found = _outcomes(spark, [by_path[path] for path in paths], rows)
+            outcomes += found
+            readable = [o.entry.path for o in found if o.ok]
+            if readable:
+                files = spark.read.schema(schema).parquet(*readable)
+                frames.append(with_provenance(files, FLEETS.get(name, Fleet(name))))
+        placed = {path for _, paths in grouped for path in paths}
+        outcomes += _outcomes(spark, [e for e in own if e.path not in placed], {})
     if not frames:
-        errors = "; ".join(o.error for o in outcomes) or "no entries"
+        errors = "; ".join(o.error for o in outcomes if o.error) or "no entries"
         raise ValueError(f"no trip file could be read: {errors}")
-    return Ingest(union_all(frames), outcomes)
+    return Ingest(union_all(frames), sorted(outcomes, key=lambda o: o.entry.path))
 
 
 def outcome_frame(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame:
-    """The outcomes as a table: one row per manifest entry."""
+    """The outcomes as a table: one row per file."""
     return spark.createDataFrame(
         [
-            (o.entry.fleet, o.entry.year_month, o.entry.file_name, "ok" if o.ok else "failed", o.error)
+            (
+                o.entry.fleet, o.entry.year_month, o.entry.file_name, o.entry.path, o.status,
+                o.error, o.n_rows, o.entry.n_bytes,
+            )
             for o in outcomes
         ],
-        f"{FLEET} string, year_month string, source_file string, status string, error string",
+        f"{FLEET} string, year_month string, source_file string, path string, status string, "
+        "error string, n_rows bigint, n_bytes bigint",
+    )
+
+
+def entry_outcomes(outcomes: DataFrame) -> DataFrame:
+    """One row per trip file name: failed if one of its files is."""
+    named = outcomes.where(F.col("status") != SKIPPED)
+    return named.groupBy("source_file", FLEET, "year_month").agg(
+        F.when(F.bool_or(F.col("status") == FAILED), FAILED).otherwise(OK).alias("status"),
+        F.sum("n_rows").alias("n_rows"),
+        F.count(F.lit(1)).alias("n_files"),
+        F.sum("n_bytes").alias("n_bytes"),
     )
 
 

@@ -131,5 +131,58 @@ def test_missing_entries(spark, folder):
 
 def test_success_rate(spark, folder):
     result = landing.ingest(spark, landing.landing_entries(spark, str(folder)))
-    row = landing.success_rate(landing.outcome_frame(spark, result.outcomes)).first()
+    outcomes = landing.entry_outcomes(landing.outcome_frame(spark, result.outcomes))
+    row = landing.success_rate(outcomes).first()
     assert tuple(row) == (4, 3, 1, 75.0)
+
+
+def test_a_name_in_two_folders_is_read_twice(spark, tmp_path):
+    for part, n in (("a", 3), ("b", 2)):
+        (tmp_path / part).mkdir()
+        write_file(tmp_path / part, "yellow", "2024-01", pa.array([1.0] * n))
+    result = landing.ingest(spark, landing.landing_entries(spark, str(tmp_path)))
+    assert result.raw.count() == 5
+    assert sorted(o.n_rows for o in result.outcomes) == [2, 3]
+    row = landing.entry_outcomes(landing.outcome_frame(spark, result.outcomes)).first()
+    assert (row["n_rows"], row["n_files"], row["status"]) == (5, 2, "ok")
+
+
+@pytest.mark.parametrize("late", [0, 1])
+def test_delivery_folders_with_any_part_names(spark, tmp_path, late):
+    """Parts named otherwise, a column in one of them, a damaged and an empty part."""
+    folder = tmp_path / "green_tripdata_2024-03.parquet"
+    folder.mkdir()
+    for i in range(2):
+        extra = {"tip_amount": 1.0} if i == late else {}
+        write_file(folder, "green", "2024-03", pa.array([1.0, 2.0]), **extra)
+        (folder / "green_tripdata_2024-03.parquet").rename(folder / f"data_{i}.parquet")
+    write_file(folder, "green", "2024-03", pa.array([], pa.float64()))
+    (folder / "green_tripdata_2024-03.parquet").rename(folder / "data_2.parquet")
+    (folder / "data_3.parquet").write_bytes(b"broken")
+    (tmp_path / "notes.parquet").write_bytes(b"no trip file's name")
+    result = landing.ingest(spark, landing.landing_entries(spark, str(tmp_path)))
+    assert result.raw.count() == 4
+    assert result.raw.filter("tip_amount = 1.0").count() == 2
+    assert {r[0] for r in result.raw.select("source_file").distinct().collect()} == {folder.name}
+    found = {o.entry.path.rsplit("/", 1)[1]: (o.status, o.n_rows) for o in result.outcomes}
+    assert found == {
+        "data_0.parquet": ("ok", 2),
+        "data_1.parquet": ("ok", 2),
+        "data_2.parquet": ("ok", 0),
+        "data_3.parquet": ("failed", 0),
+        "notes.parquet": ("skipped", 0),
+    }
+    assert sum(o.entry.n_bytes for o in result.outcomes) == sum(
+        p.stat().st_size for p in tmp_path.rglob("*.parquet") if p.is_file()
+    )
+
+
+def test_one_scan_per_fleet_and_column_types(spark, tmp_path):
+    for month in range(1, 13):
+        kind = pa.int64() if month % 4 == 0 else pa.float64()
+        write_file(tmp_path, "yellow", f"2024-{month:02}", pa.array([1, 2], kind))
+        write_file(tmp_path, "green", f"2024-{month:02}", pa.array([1.0]))
+    raw = landing.ingest(spark, landing.landing_entries(spark, str(tmp_path))).raw
+    assert raw.count() == 36
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 3

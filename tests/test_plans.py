@@ -20,7 +20,7 @@ def raw(spark, sf_dir):
 
 def test_bronze_rules_reach_the_file_scan(raw):
     text = plan(Layers().silver(Layers().bronze(unify_mixed(raw))))
-    assert text.count("FileScan") == 10  # one per fleet and month
+    assert text.count("FileScan") == 2  # one per fleet
     pushed = text.split("PushedFilters: [")[1].split("]")[0]
     assert "IsNotNull(total_amount)" in pushed
     assert "GreaterThanOrEqual(total_amount,0.0)" in text
@@ -29,9 +29,11 @@ def test_bronze_rules_reach_the_file_scan(raw):
 
 def test_fleet_and_month_drop_whole_files(raw):
     bronze = Layers().bronze(unify_mixed(raw))
-    assert plan(bronze.filter("taxi_type = 'yellow'")).count("FileScan") == 5
+    assert plan(bronze.filter("taxi_type = 'yellow'")).count("FileScan") == 1
     one = bronze.filter("taxi_type = 'yellow' AND year_month = '2024-05'")
     assert plan(one).count("FileScan") == 1
+    wanted = {f"yellow_tripdata_2024-05{landing.SUFFIX}"}
+    assert {row[0] for row in one.select("source_file").distinct().collect()} <= wanted
 
 
 def test_rollup_reads_only_what_it_needs(raw):

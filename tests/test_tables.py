@@ -1,5 +1,7 @@
 """Layer tables: writes, partition overwrite, compaction, clustering, upkeep."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,6 +29,16 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_without_it_the_warehouse_is_taken(spark):
+    """Whatever the session's master is called."""
+    settings = {"spark.sql.warehouse.dir": "hdfs:///warehouse"}
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, *default: settings.get(name, *default)),
+        sparkContext=SimpleNamespace(applicationId="app-1"),
+    )
+    assert shared_root(session) == "hdfs:///warehouse/fareloom-app-1"
+
+
 def test_refresh_writes_all_layers(spark, sf_dir, lake):
     raw = registry.trips(spark, sf_dir).drop("event_id")
     reports = refresh(lake, raw)
@@ -113,3 +125,98 @@ def test_sql_over_the_current_schema(spark, sf_dir, lake):
     finally:
         spark.sql("USE default")
     assert row["fare"] == 57.57
+
+
+KEYS = ["007", "7", "it's", "a b/c", None, "x=y%"]
+
+
+def test_partition_values_are_what_they_are(spark, lake):
+    """Numbers as text, quotes, separators and null, rewritten in place twice."""
+    rows = [(key, i, float(i)) for i, key in enumerate(KEYS)]
+    frame = spark.createDataFrame(rows, "taxi_type string, pickup_year int, total_amount double")
+    for _ in range(2):
+        lake.write("silver", frame, ["taxi_type"])
+        lake.write_partitions("silver", lake.read("silver"))
+        found = lake.read("silver").select("taxi_type", "pickup_year", "total_amount").collect()
+        assert sorted(map(tuple, found), key=str) == sorted(rows, key=str)
+    lake.write("silver", frame.where("taxi_type = '007' OR taxi_type IS NULL"), ["taxi_type"])
+    assert lake.read("silver").count() == 2
+
+
+def test_a_late_column_is_added_and_a_rerun_changes_nothing(lake, silver):
+    lake.write("silver", silver, PARTITIONING)
+    may = silver.filter("pickup_month = 5").withColumn("tip_amount", F.lit(2.5))
+    for _ in range(2):
+        lake.write_partitions("silver", may)
+        table = lake.read("silver")
+        assert table.count() == 6_665
+        assert table.filter("tip_amount = 2.5").count() == may.count()
+        assert table.filter("tip_amount IS NULL AND pickup_month = 5").count() == 0
+    lake.write("silver", silver, PARTITIONING)  # columns stay
+    assert "tip_amount" in lake.read("silver").columns
+
+
+def test_data_is_below_the_location(lake, silver):
+    lake.write("silver", silver, PARTITIONING)
+    lake.write("gold", silver)
+    for layer in ("silver", "gold"):
+        paths = [row["path"] for row in lake.files(layer).collect()]
+        root = lake.location.removeprefix("file:")
+        assert paths and all(f"{root}/{lake.tables[layer]}/v-" in path for path in paths)
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_old_folders_go_on_request(lake, silver, partitioned):
+    keys = PARTITIONING if partitioned else ()
+    first = lake.write("silver", silver, keys)
+    second = lake.write("silver", silver, keys)
+    third = None
+    if partitioned:
+        third = lake.write_partitions("silver", silver.filter("pickup_month = 5"))
+    assert lake.expire("silver") == [first.path]
+    assert lake.expire("silver") == []
+    assert lake.read("silver").count() == 6_665
+    last = lake.write("silver", silver, keys)
+    assert lake.expire("silver") == [r.path for r in (second, third) if r] and last.path
+
+
+@pytest.mark.parametrize("step", range(12))
+def test_death_at_any_step_leaves_a_whole_table(spark, lake, silver, step):
+    """The n-th change of the catalogue does not happen; then the job is dead."""
+    before = silver.filter("pickup_month = 5")
+    lake.write("silver", before, PARTITIONING)
+    after = before.withColumn("total_amount", F.col("total_amount").cast("float"))  # another type
+
+    class Dies:
+        def __init__(self, session):
+            self.session, self.left = session, step
+
+        def __getattr__(self, name):
+            return getattr(self.session, name)
+
+        def sql(self, text):
+            if text.startswith(("CREATE", "DROP", "ALTER")):
+                self.left -= 1
+                if self.left < 0:
+                    raise RuntimeError("dead")
+            return self.session.sql(text)
+
+    dying = type(lake)(Dies(spark), lake.schema, lake.location)
+    try:
+        dying.write("silver", after, PARTITIONING)
+    except RuntimeError:
+        pass
+    lake.recover("silver")
+    assert lake.read("silver").count() == before.count()
+    lake.write("silver", after, PARTITIONING)
+    assert dict(lake.read("silver").dtypes)["total_amount"] == "float"
+
+
+def test_one_large_and_many_small_files_are_compacted(lake, silver):
+    month = silver.filter("taxi_type = 'yellow' AND pickup_month = 5")
+    lake.write("silver", month.coalesce(1).union(month.limit(36).repartition(12)), PARTITIONING)
+    sizes = [row["length"] for row in lake.files("silver").collect()]
+    assert len(sizes) == 13
+    report = lake.compact("silver", target_bytes=8 * sum(sizes) // len(sizes))
+    assert report is not None and files(lake, "silver") < 13
+    assert lake.read("silver").count() == month.count() + 36
