@@ -16,12 +16,15 @@ from statistics import median
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from fareloom.contract import AMOUNT, DISTANCE, DURATION  # noqa: E402
 from fareloom.operators.distribution import distribution  # noqa: E402
 from fareloom.operators.profile import rule_report  # noqa: E402
 from fareloom.plans import answers, registry  # noqa: E402
 from fareloom.plans.medallion import Layers, refresh, unify_mixed  # noqa: E402
+from fareloom.session import fresh_path  # noqa: E402
+from fareloom.sources import landing  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4))
@@ -39,6 +42,7 @@ def session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         # Without this, PySpark looks up the caller of every column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # One process only: its own folder stands for the shared one.
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="fareloom-bench-"))
     )
     spark = builder.getOrCreate()
@@ -51,6 +55,24 @@ def consume(frame) -> None:
     frame.write.format("noop").mode("overwrite").save()
 
 
+def many_deliveries(spark: SparkSession) -> str:
+    """The same trips in 240 small files, 24 for each fleet and month."""
+    base = fresh_path(spark, "many")
+    for name, frame in registry.fleet_frames(spark, SF_DIR).items():
+        pickup = registry.FLEETS[name].native(["tpep_pickup_datetime"])[0]
+        month = F.date_format(pickup, "yyyy-MM")
+        entry = F.concat(F.lit(f"{name}_tripdata_"), month, F.lit(landing.SUFFIX))
+        split = frame.withColumns({"entry": entry, "part": F.col("event_id") % 24})
+        by_part = split.repartition(48, "entry", "part")
+        by_part.write.partitionBy("entry", "part").parquet(f"{base}/{name}")
+    return base
+
+
+def ten_times(spark: SparkSession):
+    """Ten copies of every trip."""
+    return registry.trips(spark, SF_DIR).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(10))))
+
+
 def cases(spark: SparkSession) -> dict:
     """What each name runs: from trip files, from a layer table, or from a view."""
     every = registry.all_queries()
@@ -58,11 +80,18 @@ def cases(spark: SparkSession) -> dict:
     named = answers.catalogue(registry.PERIOD)
     layers = Layers()
 
+    folder = registry.landing_folder(spark, SF_DIR)
+    many = many_deliveries(spark)
+
+    def ingested(base):
+        """Listing and footers are read anew every time."""
+        return landing.ingest(spark, landing.landing_entries(spark, base)).raw
+
     def files():
-        return unify_mixed(registry.ingested(spark, SF_DIR).raw)
+        return unify_mixed(ingested(folder))
 
     def consolidate():
-        refresh(registry.scratch_lake(spark, "bench"), registry.ingested(spark, SF_DIR).raw)
+        refresh(registry.scratch_lake(spark, "bench"), ingested(folder))
 
     def report(name, source):
         return lambda: named[name](source()).collect()
@@ -74,6 +103,9 @@ def cases(spark: SparkSession) -> dict:
     measured = [AMOUNT, DISTANCE, DURATION]
     return {
         "consolidation_4_layers": consolidate,
+        "ingest_240_files": lambda: consume(ingested(many)),
+        "gold_rollup_10x": lambda: consume(layers.gold_from(ten_times(spark))),
+        "refresh_new_files": lambda: consume(every["refresh_new_files"](spark, SF_DIR)),
         "gold_from_files": lambda: consume(layers.gold_from(files())),
         "gold_from_silver": lambda: consume(layers.gold(lake.read("silver"))),
         "q1_main_from_files": report("q1_main", lambda: layers.gold_from(files())),

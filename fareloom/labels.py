@@ -53,7 +53,8 @@ PORTUGUESE = LabelSet(
     },
 )
 
-# The answers use English texts.
+# English texts. Some are shown by the answers as they are; weekdays, bands and
+# some headings are our own translations of the Portuguese ones.
 ENGLISH = LabelSet(
     weekdays=("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"),
     periods=("Small hours", "Morning", "Afternoon", "Evening"),

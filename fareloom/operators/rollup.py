@@ -9,6 +9,7 @@ from fareloom.contract import AMOUNT, CELL_KEY, DURATION, HOUR, MONTH, PASSENGER
 from fareloom.functions import calendar
 from fareloom.labels import PORTUGUESE, LabelSet
 
+# Names of the gold table's columns, which SQL over it relies on.
 GOLD_COLUMNS = (
     "taxi_type",
     "pickup_year",

@@ -59,13 +59,20 @@ def keep_gold(
     """Bring the gold table up to date with all new files.
 
     Every batch hands over the whole rollup, which replaces the table; a batch
-    that runs twice after a failure leaves the same table.
+    that runs twice after a failure leaves the same table. Before that, what
+    earlier batches wrote and the table no longer uses is deleted.
     """
     layers = layers or Layers()
+
+    def replace(gold: DataFrame, _: int) -> None:
+        if "gold" in lake.existing():
+            lake.expire("gold")
+        lake.write("gold", gold)
+
     return (
         layers.gold_from(unified)
         .writeStream.outputMode("complete")
-        .foreachBatch(lambda gold, _: lake.write("gold", gold) and None)
+        .foreachBatch(replace)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -2,11 +2,12 @@
 
 import math
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from fareloom.labels import ENGLISH, PORTUGUESE
-from fareloom.operators.distribution import distribution
+from fareloom.operators.distribution import distribution, in_ranges, value_counts
 from fareloom.operators.profile import checksum
 from fareloom.operators.rollup import GOLD_COLUMNS
 from fareloom.plans import answers, registry
@@ -160,3 +161,42 @@ def test_quantiles_against_brute_force(spark, values):
     assert row["n_values"] == len(values)
     for p in (1, 250, 500, 999, 1000):
         assert row[f"p{p}"] == exact(values, p)
+
+
+def test_deviation_of_large_values(spark):
+    """Squares of a thousand million have no digits left for the differences."""
+    frame = spark.range(200).selectExpr("1e9 + id % 2 AS v", "(id % 37) / 1000 AS small")
+    rows = {r["metric"]: r for r in distribution(frame, ["v", "small"]).collect()}
+    assert rows["v"]["stddev_value"] == pytest.approx(0.5012547, abs=1e-6)
+    small = [(i % 37) / 1000 for i in range(200)]
+    for p in (250, 500, 750, 950):
+        assert rows["small"][f"p{p}"] == exact(small, p)
+
+
+def test_distribution_of_line_prices(spark, sf_dir):
+    """Nearly all values differ, and no task has them all."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    row = distribution(lines, ["l_extendedprice"]).first()
+    sql = "SELECT {} FROM read_parquet(?)".format(
+        ", ".join(f"quantile_disc(l_extendedprice, {p / 1000})" for p in (250, 500, 750, 950))
+        + ", stddev_samp(l_extendedprice)"
+    )
+    expected = duckdb.connect().execute(sql, [f"{sf_dir}/lineitem.parquet"]).fetchall()[0]
+    assert tuple(row[f"p{p}"] for p in (250, 500, 750, 950)) == expected[:4]
+    assert row["stddev_value"] == pytest.approx(expected[4])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranged = in_ranges(value_counts(lines, ["l_extendedprice"]))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in ranged.groupBy("part").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 0.4 * sum(sizes)
+
+
+def test_checksum_sees_where_nulls_are(spark):
+    kind = "a int, b int, k int"
+    one, other = (
+        checksum(spark.createDataFrame(rows, kind), "k").first()["checksum"]
+        for rows in ([(1, None, 0)], [(None, 1, 0)])
+    )
+    assert one != other

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fareloom.contract import PARTITIONING
 from fareloom.plans import registry
-from fareloom.plans.medallion import maintain, refresh
+from fareloom.plans.medallion import maintain, refresh, refresh_partitions
 from fareloom.session import shared_root
 
 
@@ -220,3 +220,51 @@ def test_one_large_and_many_small_files_are_compacted(lake, silver):
     report = lake.compact("silver", target_bytes=8 * sum(sizes) // len(sizes))
     assert report is not None and files(lake, "silver") < 13
     assert lake.read("silver").count() == month.count() + 36
+
+
+def gold_rows(lake):
+    measures = ("total_trips", "min_total_amount", "max_total_amount")
+    keys = ("taxi_type", "year_month", "pickup_hour", "pickup_dayname")
+    return sorted(tuple(r[c] for c in (*keys, *measures)) for r in lake.read("gold").collect())
+
+
+def test_refreshing_parts_equals_refreshing_all(spark, sf_dir, lake):
+    """New files, a file delivered again with other trips, one with a trip of
+    another month, and a month of pickup that goes away."""
+    trips = registry.trips(spark, sf_dir).drop("event_id")
+    march, may = F.col("year_month") == "2024-03", F.col("year_month") == "2024-05"
+    stray = trips.where(march).limit(5).withColumns(
+        {
+            name: F.col(name) + F.expr("INTERVAL '800' DAY")
+            for name in ("tpep_pickup_datetime", "tpep_dropoff_datetime")
+        }
+    )
+    first = trips.where(~march & ~may).unionByName(stray)
+    early = trips.where(march).limit(20).withColumns(
+        {
+            name: F.col(name) - F.expr("INTERVAL '20' DAY")
+            for name in ("tpep_pickup_datetime", "tpep_dropoff_datetime")
+        }
+    )
+    later = trips.where(march | may).unionByName(early)
+    refresh(lake, first)
+    refresh_partitions(lake, later)
+    whole = registry.scratch_lake(spark, "whole")
+    refresh(whole, trips.where(~march & ~may).unionByName(later))
+    assert gold_rows(lake) == gold_rows(whole)
+    assert lake.read("silver").count() == whole.read("silver").count()
+    before = gold_rows(lake)
+    refresh_partitions(lake, later)  # once more: nothing changes
+    assert gold_rows(lake) == before
+
+
+def test_events_of_another_type_are_trips_too(spark, tmp_path):
+    rows = [(i, ("view", "error", "sixth", None)[i % 4]) for i in range(400)]
+    frame = spark.createDataFrame(rows, "event_id bigint, event_type string").selectExpr(
+        "event_id", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "1L AS user_id", "event_type",
+        "5.0D AS value", "'{}' AS props",
+    )
+    frame.write.parquet(f"{tmp_path}/events.parquet")
+    assert registry.trips(spark, str(tmp_path)).count() == 400
+    fleets = registry.fleet_frames(spark, str(tmp_path))
+    assert {name: f.count() for name, f in fleets.items()} == {"yellow": 100, "green": 300}
