@@ -14,9 +14,12 @@ from tokenizers import Tokenizer
 from fareloom.llm import bpe, queries, token_counts
 
 
+LIBRARY = Tokenizer.from_file(public_tokenizers.path(bpe.TOKENIZER))
+
+
 @pytest.fixture(scope="module")
 def library():
-    return Tokenizer.from_file(public_tokenizers.path(bpe.TOKENIZER))
+    return LIBRARY
 
 
 @pytest.fixture(scope="module")
@@ -81,7 +84,7 @@ def test_bpe_of_odd_rows(odd, nothing, library):
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=80))
 def test_bpe_of_any_text(text):
-    check([text], Tokenizer.from_file(public_tokenizers.path(bpe.TOKENIZER)))
+    check([text], LIBRARY)
 
 
 def test_both_trees_agree(library):
