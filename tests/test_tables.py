@@ -180,7 +180,7 @@ def test_old_folders_go_on_request(lake, silver, partitioned):
     assert lake.expire("silver") == [r.path for r in (second, third) if r] and last.path
 
 
-@pytest.mark.parametrize("step", range(12))
+@pytest.mark.parametrize("step", range(9))
 def test_death_at_any_step_leaves_a_whole_table(spark, lake, silver, step):
     """The n-th change of the catalogue does not happen; then the job is dead."""
     before = silver.filter("pickup_month = 5")
