@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.llm.common import written
+
 WORDS = 5
 SHARE = 0.8
 
@@ -116,6 +118,9 @@ def contained_items(
     if found is None:
         none = F.lit(None).cast(benchmark.schema["item_id"].dataType)
         found = keyed.select("doc_id", "text_hash", none.alias("item_id")).where(F.lit(False))
+    # Written, so that its size is known before the documents' texts are moved: few
+    # pairs go to the texts, and only many make it a join of two shuffled sides.
+    found = written(found, "found-pairs")
     return _verified(found, keyed, items, share, sorted(bounds) or [size])
 
 
@@ -134,7 +139,6 @@ def _verified(found, keyed, items, share, widths) -> DataFrame:
     own = F.lit(None).cast("array<string>")
     for width in widths:
         own = F.when(F.col("width") == width, shingles("w", width)).otherwise(own)
-    # The shingles are read once too: for the number found and for the rule on it.
     counted = pairs.select(
         "doc_id",
         "text_hash",
