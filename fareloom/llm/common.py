@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 from pathlib import Path
 from uuid import uuid4
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def vocabulary_path(name: str) -> str:
+    """Where a tokenizer's file is: a path as it is, or the name of a public one."""
+    return name if "/" in name else public_tokenizers.path(name)
+
+
 def held_out(modulus: int, doc_id: str = "doc_id") -> Column:
     """Rows that nothing is learnt from; a null id is one of them."""
     remainder = F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus

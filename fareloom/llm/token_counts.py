@@ -17,11 +17,10 @@ from functools import lru_cache
 from typing import Protocol
 
 import pyarrow as pa
-import public_tokenizers
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import batches
+from fareloom.llm.common import batches, vocabulary_path
 
 BATCH_BYTES = 1 << 20
 LONG_BYTES = 1 << 16
@@ -72,7 +71,7 @@ class JsonCounter:
 
 @lru_cache(maxsize=4)
 def counter(name: str) -> Counter:
-    path = public_tokenizers.path(name)
+    path = vocabulary_path(name)
     return PieceCounter(path) if path.endswith(".model") else JsonCounter(path)
 
 

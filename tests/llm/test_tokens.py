@@ -87,6 +87,11 @@ def test_bpe_of_any_text(text):
     check([text], LIBRARY)
 
 
+def test_bpe_of_every_latin_character():
+    characters = [chr(c) for c in range(0x250)]
+    check([f"{c} a{c} {c}B {c}{c}, Été{c}." for c in characters], LIBRARY)
+
+
 def test_both_trees_agree(library):
     random.seed(1)
     vocabulary = bpe.encoder(bpe.TOKENIZER).vocabulary
