@@ -8,7 +8,7 @@ paths to the root are computed anew: logarithmic work, until the root holds no
 pair. Short words go through their trees side by side in arrays, one merge in
 every word a round; a long one has a tree of its own.
 
-Words are encoded once per worker and batch; a text is the sequence of its
+Words are encoded once per task while they are remembered; a text is the sequence of its
 words' tokens, as white space is dropped before. Null texts are empty, and an
 empty text has no tokens.
 """
@@ -21,7 +21,6 @@ from functools import lru_cache
 from hashlib import sha256
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -29,15 +28,16 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer
 from tokenizers.pre_tokenizers import Split
 
-from fareloom.llm.common import batches, struct_array
+from fareloom.llm.common import batches, struct_array, vocabulary_path
 
 TOKENIZER = "word_bpe_49k.json"
-TEXT_BYTES = 4 << 20
-CACHED_WORDS = 250_000  # of a worker; forgotten together when there are more
+TEXT_BYTES = 2 << 20
+CACHED_WORDS = 80_000  # of a task; forgotten together when there are more
 WIDEST = 64  # symbols of a word that is encoded side by side with others
 NO_PAIR = np.iinfo(np.int64).max
 SPACE = r"\t-\r \x85\xa0  -     　"
 _WORDS = regex.compile(f"[^{SPACE}]+")
+_SETTLED = "\u0250"  # the first character behind the Latin letters
 _ODD_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() takes these for white space
 
 
@@ -213,10 +213,11 @@ class Encoder:
     def _split(self, word: str) -> list[str]:
         """The pieces of a word, by the vocabulary's pattern; letters need none.
 
-        What a letter is and its lower case depend on the version of Unicode, so
-        other than ASCII words are normalised and split by the library's parts.
+        What a letter is and its lower case depend on the version of Unicode. They
+        are settled for Latin letters, which are in normal form too; words with
+        other characters are normalised and split by the library's parts.
         """
-        plain = word.isascii()
+        plain = word.isascii() or max(word) < _SETTLED
         word = word.lower() if plain else self.vocabulary.normalize(word)
         if word.isalpha():
             return [word]
@@ -271,8 +272,14 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
+def vocabulary(name: str) -> Vocabulary:
+    return Vocabulary(vocabulary_path(name))
+
+
 def encoder(name: str) -> Encoder:
-    return Encoder(Vocabulary(public_tokenizers.path(name)))
+    """An encoder for one task. A worker outlives its tasks and keeps the tables of
+    the vocabulary, but no words."""
+    return Encoder(vocabulary(name))
 
 
 def encode(text: Column, tokenizer: str = TOKENIZER) -> Column:
@@ -283,13 +290,10 @@ def encode(text: Column, tokenizer: str = TOKENIZER) -> Column:
         coder = encoder(tokenizer)
         kinds = {"ids": pa.list_(pa.int32()), "decoded": pa.string()}
         for column in columns:
-            got = [
-                pair
-                for batch in batches(column, TEXT_BYTES)
-                for pair in coder.encode([t.decode("utf-8", "replace") for t in batch])
-            ]
-            ids = [np.frombuffer(data, "<i4") for data, _ in got]
-            yield struct_array({"ids": ids, "decoded": [text for _, text in got]}, kinds)
+            for batch in batches(column, TEXT_BYTES):  # handed over run by run
+                got = coder.encode([t.decode("utf-8", "replace") for t in batch])
+                ids = [np.frombuffer(data, "<i4") for data, _ in got]
+                yield struct_array({"ids": ids, "decoded": [text for _, text in got]}, kinds)
 
     return run(F.coalesce(text, F.lit("")))
 

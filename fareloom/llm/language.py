@@ -29,7 +29,7 @@ BUCKETS = 1 << 15
 SMOOTHING = 0.5
 ROUNDS = 12
 LARGEST_SET = 3
-CACHED_WORDS = 200_000
+CACHED_WORDS = 120_000
 NONE = "und"
 _LETTERS = regex.compile(r"\p{L}+")
 _PRIMES = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)

@@ -38,7 +38,7 @@ EPOCHS = 6
 MINIBATCH = 32
 RATE = 0.3
 ACCEPT = 0.7
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 PAIR = 0  # the bucket of repeated words, used by nothing else
 _END = 10  # a line break stands at both ends of a token
 
