@@ -2,6 +2,7 @@
 
 A text is cut into sentences (at line breaks and behind `.`, `!`, `?`), and a
 second time with line breaks taken for spaces, since licence texts are wrapped.
+There too a blank line, a colon before a list and a mark like `(1)` are ends.
 A sentence is normalised (letters and digits in lower case, anything else one
 space) and looked up among known licence sentences. The identifiers found, in
 the order of the text, are matched against rules, sequences of identifiers, one
@@ -110,13 +111,25 @@ RULES = (
 )
 
 
+# Where a wrapped text is cut besides the ends of sentences.
+_MARK = r"\(?[0-9a-zA-Z]{1,2}[.)][ \t]"
+_ENDS = (
+    r":?[ \t]*\n[ \t*/#;-]*\(?[0-9a-zA-Z]{1,2}\)[ \t]+"
+    r"|\n[ \t*/#;-]*(?=\n)"
+    rf"|:[ \t]*\n(?=[ \t*/#;-]*{_MARK}|[ \t]*[-*\u2022][ \t]+[A-Z])"
+)
+
+
 def sequence(rule: tuple[str, ...]) -> str:
     return "".join(f"<{name}>" for name in rule)
 
 
 def sentences(text: Column, wrapped: bool) -> Column:
     """Normalised sentences of a text, in order."""
-    lines = F.translate(text, "\r\n", "  ") if wrapped else text
+    lines = text
+    if wrapped:
+        lines = F.regexp_replace(F.translate(text, "\x01", " "), "\r\n?", "\n")
+        lines = F.translate(F.regexp_replace(lines, _ENDS, "\x01"), "\n\x01", " \n")
     cut = F.regexp_replace(lines, "([.!?])[ \t\r\n]+", "$1\n")
     plain = F.regexp_replace(F.lower(cut), "[^a-z0-9\n]+", " ")
     return F.transform(F.split(plain, "\n"), lambda s: F.trim(s))
