@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import bpe, chat, decontaminate, edit, language, licenses, lm, quality, simhash, token_counts
+from fareloom.llm import bpe, chat, decontaminate, edit, language, licenses, lm, quality, runs, simhash, token_counts
 from fareloom.llm.oracle import ORACLES
 from fareloom.llm.common import documents, ship, table
 
@@ -60,6 +60,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = runs.repeat_tails(documents(spark, sf_dir))
+    return runs.run_digests(runs.periodic_runs(docs))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -69,7 +74,7 @@ def _shipped(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    found = (op1_quality, op2_lm, op3_decontaminate, op4_simhash, op5_chat, op6_edit_fingerprints, op7_bpe, op8_licenses, op9_language, op10_token_counts)
+    found = (op1_quality, op2_lm, op3_decontaminate, op4_simhash, op5_chat, op6_edit_fingerprints, op7_bpe, op8_licenses, op9_language, op10_token_counts, op11_runs)
     return {query.__name__: _shipped(query) for query in found}
 
 
