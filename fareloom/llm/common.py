@@ -50,10 +50,10 @@ def vocabulary_path(name: str) -> str:
     return name if "/" in name else public_tokenizers.path(name)
 
 
-def held_out(modulus: int, doc_id: str = "doc_id") -> Column:
+def held_out(modulus: int, remainder: int = 2) -> Column:
     """Rows that nothing is learnt from; a null id is one of them."""
-    remainder = F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus
-    return F.coalesce(remainder == 2, F.lit(True))
+    found = F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+    return F.coalesce(found == remainder, F.lit(True))
 
 
 def batches(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[list[bytes]]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.llm import bpe, chat, decontaminate, edit, language, licenses, lm, quality, runs, simhash, token_counts
+from fareloom.llm import bpe, chat, decontaminate, edit, language, licenses, lm, quality, repair, runs, simhash, token_counts, toxicity
 from fareloom.llm.oracle import ORACLES
 from fareloom.llm.common import documents, ship, table
 
@@ -65,6 +65,15 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(runs.periodic_runs(docs))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_digests(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return toxicity.predict(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -74,7 +83,7 @@ def _shipped(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    found = (op1_quality, op2_lm, op3_decontaminate, op4_simhash, op5_chat, op6_edit_fingerprints, op7_bpe, op8_licenses, op9_language, op10_token_counts, op11_runs)
+    found = (op1_quality, op2_lm, op3_decontaminate, op4_simhash, op5_chat, op6_edit_fingerprints, op7_bpe, op8_licenses, op9_language, op10_token_counts, op11_runs, op12_repair, op13_toxicity)
     return {query.__name__: _shipped(query) for query in found}
 
 

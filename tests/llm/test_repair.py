@@ -1,0 +1,171 @@
+"""Conversation repair against a search over all edits."""
+
+import heapq
+import random
+import re
+import zlib
+from hashlib import sha256
+from itertools import groupby
+
+import pytest
+
+from fareloom.llm import queries, repair
+
+GRAMMAR = re.compile(r"(s?(ua)+)?")
+STARTS = re.compile(r"s?(ua)*u?")
+SPACE = " \t\n\x0b\f\r"
+
+
+def cheapest(rows):
+    """Cost, audit and repaired rows by search in the order of cost and audit."""
+    heap, count = [(0, "", 0, "", ())], 0
+    while True:
+        cost, audit, at, made, out = heapq.heappop(heap)
+        if at == len(rows) and GRAMMAR.fullmatch(made):
+            return cost, audit, list(out)
+
+        def push(more, edit, step, turn=None):
+            grown = made + (turn[0][:1] or "?") if turn else made
+            if STARTS.fullmatch(grown):
+                kept = (*out, turn) if turn else out
+                heapq.heappush(heap, (cost + more, audit + edit, at + step, grown, kept))
+
+        for role in ("user", "assistant"):
+            push(5, "I", 0, (role, ""))
+        if at < len(rows):
+            role, text, fault = rows[at]
+            push(2, "D", 1)
+            if fault in ("", "truncated"):
+                cut = 5 if fault else 0
+                push(cut, "K", 1, (role, text))
+                for other in ("user", "assistant"):
+                    push(cut + 1, "R", 1, (other, text))
+
+
+def faults(rows):
+    seen, found = set(), []
+    for _, role, text in rows:
+        said = text.strip(SPACE)
+        fault = (
+            "blank" if not said else "duplicate" if (role, text) in seen
+            else "truncated" if said[-1] not in ".!?" else ""
+        )
+        seen.add((role, text))
+        found.append(fault)
+    return found
+
+
+def expected(conv_id, rows):
+    """From rows (turn, role, text) after damage, in order."""
+    found = faults(rows)
+    cost, audit, out = cheapest([(r, t, f) for (_, r, t), f in zip(rows, found, strict=True)])
+    turns = {turn for turn, _, _ in rows if turn is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    legal = ("su", "ua", "au")
+    illegal = sum(a[1][:1] + b[1][:1] not in legal for a, b in zip(rows, rows[1:], strict=False))
+    digest = sha256("\n".join(f"{r}:{t}" for r, t in out).encode()).hexdigest()
+    counts = [found.count(name) for name in ("blank", "duplicate", "truncated")]
+    return (conv_id, gaps, *counts, illegal, cost, audit, digest)
+
+
+def in_order(rows):
+    def key(row):
+        turn, role, text = row
+        return turn is not None, turn or 0, role.encode(), sha256(text.encode()).digest()
+
+    return sorted(rows, key=key)
+
+
+def damaged(rows):
+    """Conversations with rows (turn, role, text) after damage."""
+    kept = {}
+    for conv_id, turn, role, text in rows:
+        mine = kept.setdefault(conv_id, [])
+        shown = [" " if x is None else str(x) for x in (conv_id, turn)]
+        role, text = (" " if x is None else x for x in (role, text))
+        kind = zlib.crc32(":".join(shown).encode()) % 20
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        role = "user" if kind == 4 else role
+        mine += [(turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    return {conv_id: in_order(mine) for conv_id, mine in kept.items()}
+
+
+def results(frame):
+    names = "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256".split()
+    assert sorted(frame.columns) == sorted(names)
+    return sorted((tuple(row) for row in frame.select(*names).collect()), key=str)
+
+
+def test_automaton_is_the_cheapest_of_all_edits():
+    dice = random.Random(5)
+    some = {"".join(dice.choices("suaoSUAOx", k=dice.randint(0, 7))) for _ in range(700)}
+    automaton = repair.Automaton()
+    roles = {"s": "system", "u": "user", "a": "assistant", "o": "tool", "x": "user"}
+    for text in sorted(some, key=lambda s: s[::-1]):
+        rows = [
+            (roles[c.lower()], "", "blank" if c == "x" else "truncated" if c.isupper() else "")
+            for c in text
+        ]
+        cost, audit = automaton.solve(text.encode())
+        assert (cost, audit.decode()) == cheapest(rows)[:2], text
+    suffixes = {text[i:] for text in some for i in range(len(text) + 1)}
+    assert automaton.nodes == len(suffixes)  # each suffix was worked out once
+
+
+def test_query_on_all_conversations(spark, sf_dir, rows_of):
+    known = rows_of(f"{sf_dir}/conversations.parquet", "conv_id, turn, role, text")
+    got = results(queries.all_queries()["op12_repair"](spark, sf_dir))
+    want = [expected(conv_id, rows) for conv_id, rows in damaged(known).items()]
+    assert got == sorted(want, key=str)
+
+
+def odd_conversations():
+    dice, rows = random.Random(8), []
+    roles = ["user", "assistant", "system", "tool", "", None, "User"]
+    texts = ["Yes.", "No", " \n", "", None, "What? ", "é!", "Yes.", "Long " * 3000 + "end."]
+    for conv_id in [*range(150), None]:
+        for _ in range(dice.randint(1, 6)):
+            turn = dice.choice([None, -3, 0, 1, 2, 2, 9])
+            rows.append((conv_id, turn, dice.choice(roles), dice.choice(texts)))
+    return rows + rows[:20]  # repeated rows
+
+
+def test_odd_rows(spark):
+    rows = odd_conversations()
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    frame = frame.selectExpr("*", "'x' AS audit", "'x' AS print", "1 AS kind", "'x' AS copies_")
+    got = results(repair.repair_digests(repair.damage(frame)))
+    want = [expected(conv_id, mine) for conv_id, mine in damaged(rows).items()]
+    assert got == sorted(want, key=str)
+    assert any(row[6] == 0 and row[7] == "" for row in got)  # no rows after damage
+    empty = frame.where("conv_id < -1")
+    assert results(repair.repair_digests(repair.damage(empty))) == []
+
+
+def test_repaired_rows_follow_the_grammar(spark):
+    rows = [(1, 1, "assistant", "Hi."), (1, 2, "user", "Hi."), (2, 1, "user", "Go on")]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    audits, repaired = repair.repair(frame)
+    assert {r["conv_id"]: (r["cost"], r["audit"]) for r in audits.collect()} == {
+        1: (2, "RR"), 2: (2, "D"),
+    }
+    made = sorted(tuple(r) for r in repaired.collect())
+    assert made == [(1, 0, "user", "Hi."), (1, 1, "assistant", "Hi.")]
+    for _, group in groupby(made, key=lambda r: r[0]):
+        assert GRAMMAR.fullmatch("".join(role[0] for _, _, role, _ in group))
+
+
+@pytest.mark.parametrize("turns", [2_000])
+def test_long_conversation(spark, turns):
+    frame = spark.range(turns).selectExpr(
+        "7L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role",
+        "concat(IF(id % 5 = 0, 'same', string(id)), '.') AS text",
+    )
+    rows = [
+        (i, "user" if i % 2 == 0 else "assistant", f"{'same' if i % 5 == 0 else i}.")
+        for i in range(turns)
+    ]
+    row = repair.repair(frame)[0].first()
+    found = faults(in_order(rows))
+    assert (row["duplicate"], row["truncated"]) == (found.count("duplicate"), 0)
+    assert len(row["audit"].replace("I", "")) == turns
