@@ -90,3 +90,12 @@ LAYER_TABLES: dict[str, str] = {
     "silver": "silver_trips",
     "gold": "gold_trips",
 }
+
+# Tables beside the layers: zones of raw files, rows that a layer rejects, and
+# sketches of its columns.
+SIDE_TABLES: dict[str, str] = {
+    "raw_zones": "raw_zones",
+    "bronze_rejects": "bronze_rejected_trips",
+    "silver_rejects": "silver_rejected_trips",
+    "silver_sketches": "silver_sketches",
+}

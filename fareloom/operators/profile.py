@@ -165,12 +165,16 @@ def _text(name: str, kind: T.DataType) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}="), text), F.lit(name))
 
 
-def checksum(df: DataFrame, *keys: str) -> DataFrame:
-    """Checksum of the rows per key, the same for every order of rows and columns."""
+def row_hash(df: DataFrame) -> Column:
+    """A whole number for a row, whatever the order of its columns."""
     fields = sorted(df.schema, key=lambda f: f.name)
     row = F.concat_ws("|", *(_text(f.name, f.dataType) for f in fields))
-    number = F.conv(F.substring(F.md5(row.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
+    return F.conv(F.substring(F.md5(row.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
+
+
+def checksum(df: DataFrame, *keys: str) -> DataFrame:
+    """Checksum of the rows per key, the same for every order of rows and columns."""
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.sum(number).cast("decimal(38,0)").cast("string").alias("checksum"),
+        F.sum(row_hash(df)).cast("decimal(38,0)").cast("string").alias("checksum"),
     )

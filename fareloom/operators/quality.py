@@ -97,6 +97,18 @@ def rule_names(mask: str, rules: Sequence[Rule]) -> Column:
     return F.expr(f"array_compact(array({', '.join(names)}))")
 
 
+REASONS = "reject_reasons"
+
+
+def judge(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """All rows, with the names of the rules each fails; null for a row that meets all."""
+    # Out of a one-row generator: a plain projection would be worked out again for
+    # every reference to it.
+    judged = df.select("*", F.inline(F.array(F.struct(failed_mask(rules).alias("__mask")))))
+    reasons = F.when(F.col("__mask") != 0, rule_names("__mask", rules))
+    return judged.withColumn(REASONS, reasons).drop("__mask")
+
+
 def rejected_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The other side of `keep_rows`, with the reasons of each rejected row."""
     rejected = df.withColumn("mask", failed_mask(rules)).filter("mask <> 0")

@@ -6,26 +6,20 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fareloom.contract import CONTRACT, FLEET, FLEETS, REQUIRED, Fleet
+from fareloom.operators.drift import as_type
 
 
 def conform(df: DataFrame, names: Iterable[str]) -> list[str]:
     """SQL that selects contract columns in their contract types.
 
-    Zoned and zoneless timestamps both pass as they are: a cast between them
-    would move trips across a daylight saving change.
+    A value that its type cannot hold is null; `drift.losses` counts such values.
     """
-    kinds = {f.name.lower(): f.dataType for f in df.schema}
-
-    def one(name: str) -> str:
-        kind, wanted = kinds[name.lower()], CONTRACT[name]
-        timestamps = isinstance(kind, (T.TimestampType, T.TimestampNTZType))
-        fits = kind.simpleString() == wanted or (timestamps and "timestamp" in wanted)
-        return f"{name} AS {name}" if fits else f"CAST({name} AS {wanted}) AS {name}"
-
-    return [one(name) for name in names]
+    kinds = {f.name.lower(): f.dataType.simpleString() for f in df.schema}
+    return [
+        f"{as_type(f'`{name}`', kinds[name.lower()], CONTRACT[name])} AS {name}" for name in names
+    ]
 
 
 def rename_native(df: DataFrame, fleet: Fleet) -> DataFrame:

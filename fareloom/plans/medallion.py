@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fareloom.contract import BOUNDS, FLEET, FLEETS, MONTH, PARTITIONING, YEAR, Bound, Fleet
 from fareloom.labels import PORTUGUESE, LabelSet
 from fareloom.operators.derive import add_categories, add_time_columns, impute_passengers
-from fareloom.operators.quality import applicable, bronze_rules, keep_rows, silver_rules
+from fareloom.operators.quality import applicable, bronze_rules, judge, keep_rows, silver_rules
 from fareloom.operators.rollup import hourly_rollup
 from fareloom.operators.unify import (
     fill_missing,
@@ -20,8 +20,11 @@ from fareloom.operators.unify import (
     standardize,
     union_all,
 )
+from fareloom.sinks.journal import Journal
+from fareloom.sinks.quarantine import divide
+from fareloom.sinks.sketches import SKETCHES, build
 from fareloom.sinks.tables import Lake, WriteReport
-
+from fareloom.sinks.zones import file_path, remember, rows_of, zones
 
 RAW_PARTITIONING = (FLEET, "year_month")  # as trip files are delivered
 
@@ -57,6 +60,16 @@ class Layers:
         rules = applicable(silver_rules(self.bounds), bronze)
         return add_categories(impute_passengers(keep_rows(bronze, rules)), self.labels)
 
+    def judged_bronze(self, unified: DataFrame) -> DataFrame:
+        """All rows with their pickup parts, and the reasons of those bronze rejects."""
+        rules = bronze_rules(self.bounds)
+        return add_time_columns(judge(unified, rules), self.labels)
+
+    def judged_silver(self, bronze: DataFrame) -> DataFrame:
+        """All rows as silver would have them, and the reasons of those it rejects."""
+        rules = applicable(silver_rules(self.bounds), bronze)
+        return add_categories(impute_passengers(judge(bronze, rules)), self.labels)
+
     def gold(self, silver: DataFrame) -> DataFrame:
         return hourly_rollup(silver, self.labels)
 
@@ -66,22 +79,33 @@ class Layers:
 
 
 def refresh(
-    lake: Lake, raw: DataFrame, layers: Layers | None = None, by_month: bool = True
+    lake: Lake,
+    raw: DataFrame,
+    layers: Layers | None = None,
+    by_month: bool = True,
+    quarantine: bool = False,
 ) -> dict[str, WriteReport]:
     """Write all four layers, each from the table below it.
 
     `by_month` says that the raw files follow fleet and month, as delivered
     files do. Bronze is then written without a shuffle; the few trips that are
     in the wrong file make small files, which `maintain` collects. Silver takes
-    over the layout of bronze and never needs a shuffle.
+    over the layout of bronze and never needs a shuffle. With `quarantine`, rows
+    that bronze and silver reject are kept beside them, with the reasons.
     """
     layers = layers or Layers()
     reports = {"raw": lake.write("raw", raw, RAW_PARTITIONING)}
-    reports["bronze"] = lake.write(
-        "bronze", layers.bronze(unify_mixed(lake.read("raw"))), PARTITIONING, rebalance=not by_month
-    )
-    reports["silver"] = lake.write("silver", layers.silver(lake.read("bronze")), PARTITIONING)
+    remember(lake, _raw_zones(lake.read("raw")), RAW_PARTITIONING)
+    unified = unify_mixed(lake.read("raw"))
+    if quarantine:
+        reports |= divide(lake, "bronze", layers.judged_bronze(unified), not by_month)
+        reports |= divide(lake, "silver", layers.judged_silver(lake.read("bronze")))
+    else:
+        bronze = layers.bronze(unified)
+        reports["bronze"] = lake.write("bronze", bronze, PARTITIONING, rebalance=not by_month)
+        reports["silver"] = lake.write("silver", layers.silver(lake.read("bronze")), PARTITIONING)
     reports["gold"] = lake.write("gold", layers.gold(lake.read("silver")))
+    Journal(lake).done()
     return reports
 
 
@@ -94,35 +118,66 @@ def refresh_partitions(
     raw has of them. Above raw, only those months of pickup are computed anew
     that trips of the new files, or of the ones they replace, belong to, and only
     they are written; trips in a wrong month's file are found by their pickup.
-    Gold, a few thousand cells a year, takes over its other months.
+    Of raw, only files are read whose zone meets these months. Gold, a few
+    thousand cells a year, takes over its other months.
+
+    The months are stored as an intent before raw changes. If the job dies, at
+    whatever step, the same call once more, or `finish_refresh` if raw was
+    replaced already, brings the layers to where they should be.
     """
     layers = layers or Layers()
+    journal = Journal(lake)
+    # One record per fleet and month: what the catalogue holds too.
+    touched = journal.pending()
+
+    def intend(path: str) -> None:
+        stored = lake.stored("raw", path)
+        months = stored.select(*RAW_PARTITIONING).distinct()
+        replaced = lake.read("raw").join(months, list(RAW_PARTITIONING), "left_semi")
+        for rows in (stored, replaced):
+            found = layers.bronze(unify_mixed(rows)).select(*PARTITIONING).distinct()
+            touched.update(tuple(row) for row in found.collect())
+        journal.intend(touched)
+
+    reports: dict[str, WriteReport | None] = {}
+    reports["raw"] = lake.write_partitions("raw", new_raw, before=intend)
+    remember(lake, _raw_zones(lake.stored("raw", reports["raw"].path)), RAW_PARTITIONING)
+    return reports | _rebuild(lake, layers, touched)
+
+
+def finish_refresh(lake: Lake, layers: Layers | None = None) -> dict[str, WriteReport | None]:
+    """Bring the layers above raw up to date after a refresh that died behind raw."""
+    return _rebuild(lake, layers or Layers(), Journal(lake).pending())
+
+
+def _raw_zones(raw: DataFrame) -> DataFrame:
+    keys = list(RAW_PARTITIONING)
+    return zones(unify_mixed(raw.withColumn("path", file_path()), extra=("path",)), *keys)
+
+
+def _rebuild(lake: Lake, layers: Layers, touched: set) -> dict[str, WriteReport | None]:
+    """Compute the touched months of all layers above raw, and end the intent."""
     keys = list(PARTITIONING)
-    months = new_raw.select(*RAW_PARTITIONING).distinct()
-    before = lake.read("raw").join(months, list(RAW_PARTITIONING), "left_semi")
-    old = layers.bronze(unify_mixed(before)).select(*keys).distinct()
-    # One record per fleet and month, old and new: what the catalogue holds too.
-    touched = {tuple(row) for row in old.collect()}
-    reports: dict[str, WriteReport | None] = {"raw": lake.write_partitions("raw", new_raw)}
-    fresh = lake.read("raw").join(months, list(RAW_PARTITIONING), "left_semi")
-    new = layers.bronze(unify_mixed(fresh)).select(*keys).distinct()
-    touched |= {tuple(row) for row in new.collect()}
-    if not touched:
-        return reports
-    raw = lake.read("raw").where(F.col(FLEET).isin(*{fleet for fleet, _, _ in touched}))
-    bronze = _of_months(layers.bronze(unify_mixed(raw)), touched)
-    for layer, rows in (
-        ("bronze", lambda: bronze),
-        ("silver", lambda: layers.silver(_of_months(lake.read("bronze"), touched))),
-    ):
-        reports[layer] = lake.write_partitions(layer, rows())
-        written = lake.spark.read.schema(lake.read(layer).schema).parquet(reports[layer].path)
-        left = {tuple(row) for row in written.select(*keys).distinct().collect()}
-        lake.drop_partitions(layer, sorted(touched - left))
-    wanted = _of_months(lake.read("silver"), touched)
-    kept = lake.read("gold").join(_months(lake, touched), keys, "left_anti")
-    gold = kept.unionByName(layers.gold(wanted))
-    reports["gold"] = lake.write("gold", gold.select(*lake.read("gold").columns))
+    reports: dict[str, WriteReport | None] = {}
+    if touched:
+        raw = rows_of(lake, touched)
+        for layer, rows in (
+            ("bronze", lambda: _of_months(layers.bronze(unify_mixed(raw)), touched)),
+            ("silver", lambda: layers.silver(_of_months(lake.read("bronze"), touched))),
+        ):
+            reports[layer] = lake.write_partitions(layer, rows())
+            left = {
+                (fleet, int(year), int(month))
+                for fleet, year, month in lake.partitions_below(layer, reports[layer].path)
+            }
+            lake.drop_partitions(layer, sorted(touched - left))
+        wanted = _of_months(lake.read("silver"), touched)
+        kept = lake.read("gold").join(_months(lake, touched), keys, "left_anti")
+        gold = kept.unionByName(layers.gold(wanted))
+        reports["gold"] = lake.write("gold", gold.select(*lake.read("gold").columns))
+        if lake.has(SKETCHES):
+            build(lake, "silver", touched)
+    Journal(lake).done()
     return reports
 
 

@@ -117,6 +117,30 @@ def over(stage: str, select: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select
 
 
+def quarantined() -> str:
+    """Rows per layer, partition and exact combination of failed rules."""
+
+    def judged(rules: list[str]) -> str:
+        names = ", ".join(
+            f"CASE WHEN NOT coalesce({RULES[name]}, FALSE) THEN '{name}' END" for name in rules
+        )
+        return f"coalesce(nullif(array_to_string(list_filter([{names}], lambda x: x IS NOT NULL), '+'), ''), 'kept')"
+
+    names = list(RULES)
+    partitions = (
+        "fleet AS taxi_type, CAST(year(pickup) AS INTEGER) AS pickup_year, "
+        "CAST(month(pickup) AS INTEGER) AS pickup_month"
+    )
+    return " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, {partitions}, {judged(rules)} AS reasons, count(*) AS n_rows "
+        f"FROM trips WHERE {where} GROUP BY ALL"
+        for layer, rules, where in (
+            ("bronze", names[:4], "TRUE"),
+            ("silver", names[4:], BRONZE_WHERE),
+        )
+    )
+
+
 def over_lines(select: str) -> str:
     return f"WITH {LINES},\n{rollup_cte('kept_lines')}\n{select}"
 
@@ -413,6 +437,19 @@ FROM trips""",
 FROM trips GROUP BY fleet, file_month
 UNION ALL
 SELECT 'green_tripdata_2024-06.parquet', 'green', '2024-06', 'failed', 0""",
+        ),
+        "ingest_type_drift": over(
+            "trips",
+            f"""SELECT source_file, column_name, count(*) AS n_rows, count(*) FILTER (lost) AS n_lost
+FROM (
+  SELECT {FILE} AS source_file, fleet, month(pickup) AS m,
+         unnest([{{'column_name': 'total_amount', 'lost': amount IS NULL}},
+                 {{'column_name': 'passenger_count', 'lost': pax IS NULL}},
+                 {{'column_name': 'tpep_dropoff_datetime', 'lost': dropoff IS NULL}}], recursive := true)
+  FROM trips
+)
+WHERE (column_name = 'total_amount') = (fleet = 'yellow') AND m = CASE fleet WHEN 'yellow' THEN 4 ELSE 2 END
+GROUP BY source_file, column_name HAVING count(*) FILTER (lost) > 0""",
         ),
         "provenance_columns": derived(
             f"fleet AS taxi_type, file_month AS year_month, {FILE} AS source_file, "
@@ -430,6 +467,25 @@ FROM trips GROUP BY fleet, file_month""",
             f"SELECT count(*) AS n_entries, sum(size_mb) AS total_mb FROM ({MANIFEST})",
         ),
         "refresh_new_files": over("gold", rounded_gold()),
+        "refresh_after_death": over("gold", rounded_gold()),
+        "refresh_one_month": over(
+            "trips",
+            "SELECT fleet AS taxi_type, count(*) AS n_rows, TRUE AS few_files FROM trips "
+            "WHERE year(pickup) = 2024 AND month(pickup) = 5 GROUP BY fleet",
+        ),
+        "zorder_write": over(
+            "silver",
+            "SELECT unnest(['tpep_pickup_datetime', 'total_amount']) AS column_name, "
+            "count(*) AS n_rows, TRUE AS skips_half FROM silver",
+        ),
+        "hash_tree_diff": over(
+            "silver",
+            f"""SELECT {partitions}, event_id, side,
+       round(CASE side WHEN 'after' THEN amount + 1 ELSE amount END, 6) AS total_amount
+FROM (SELECT {NUMBERED}, amount FROM silver WHERE month(pickup) = 5 AND event_id % 50 = 3),
+     (SELECT unnest(['before', 'after']) AS side)""",
+        ),
+        "quarantine_write": over("trips", quarantined()),
         "manifest_missing": over(
             "trips",
             """SELECT taxi_type, year_month, taxi_type || '_tripdata_' || year_month || '.parquet' AS source_file
@@ -661,6 +717,26 @@ FROM trips GROUP BY fleet""",
 FROM (SELECT fleet AS taxi_type, concat_ws('+', {reasons}) AS reasons FROM trips)
 WHERE reasons <> '' GROUP BY taxi_type, reasons""",
         ),
+        "dq_group_quantiles": over(
+            "silver",
+            union(
+                f"SELECT fleet AS taxi_type, CAST(month(pickup) AS INTEGER) AS pickup_month, "
+                f"'{name}' AS metric, count({column}) AS n_values, "
+                f"round(quantile_disc({column}, 0.5), 6) AS p500, "
+                f"round(quantile_disc({column}, 0.95), 6) AS p950 FROM silver "
+                f"GROUP BY ALL HAVING count({column}) > 0"
+                for name, column in measured.items()
+            ),
+        ),
+        "dq_sketches": over(
+            "silver",
+            union(
+                f"SELECT '{name}' AS metric, {p} AS per_mille, count({column}) AS n_values, "
+                f"TRUE AS within_bound FROM silver"
+                for name, column in measured.items()
+                for p in (250, 500, 750, 950)
+            ),
+        ),
         "dq_distribution": over(
             "silver",
             union(

@@ -30,12 +30,17 @@ from fareloom.functions import bands, calendar
 from fareloom.labels import ENGLISH, PORTUGUESE
 from fareloom.operators import profile, quality, unify
 from fareloom.operators.derive import add_categories, add_time_columns, impute_passengers
-from fareloom.operators.distribution import distribution
+from fareloom.operators.distribution import distribution, group_quantiles
+from fareloom.operators.zorder import as_number
 from fareloom.plans import answers
-from fareloom.plans.medallion import Layers, refresh, refresh_partitions
+from fareloom.plans.medallion import Layers, finish_refresh, refresh, refresh_partitions
 from fareloom.plans.medallion import unify as unify_fleets
 from fareloom.session import fresh_path
+from fareloom.sinks.hashes import changed_rows, differences, snapshot
+from fareloom.sinks.quarantine import rejects
+from fareloom.sinks.sketches import RANK_ERROR, SKETCHES, build, estimates
 from fareloom.sinks.tables import Lake
+from fareloom.sinks.zones import file_path, rows_of
 from fareloom.sources import landing
 from fareloom.sources.events import fleet_frame, line_trips, read_events, trips
 
@@ -88,17 +93,49 @@ def rounded(frame: DataFrame, digits: int = 6) -> DataFrame:
 # Trip files. One folder per fleet and month, as if delivered by a producer.
 
 
+def _deliver(frame: DataFrame, fleet: str, base: str, folder: str) -> None:
+    """Write a fleet's trips as monthly files."""
+    pickup = FLEETS[fleet].native([PICKUP])[0]
+    month = calendar.year_month(F.year(pickup), F.month(pickup))
+    entry = F.concat(F.lit(f"{fleet}_tripdata_"), month, F.lit(landing.SUFFIX))
+    files = frame.withColumn("entry", entry).hint("rebalance", "entry")
+    files.write.partitionBy("entry").parquet(f"{base}/{folder}")
+
+
+def plain_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Monthly files with the same column types in all files of a fleet."""
+
+    def build() -> str:
+        base = fresh_path(spark, "plain")
+        for name, frame in fleet_frames(spark, sf_dir).items():
+            _deliver(frame, name, base, name)
+        return base
+
+    return _once("plain", spark, sf_dir, build)
+
+
+# Months that a producer delivered as text, with these words for what it did not know.
+DRIFTING = {
+    YELLOW.name: (4, {AMOUNT: "n/a"}),
+    GREEN.name: (2, {PASSENGERS: "unknown", DROPOFF: "no time"}),
+}
+
+
 def landing_folder(spark: SparkSession, sf_dir: str) -> str:
-    """Write each fleet's trips as monthly files, plus one that is no Parquet."""
+    """Monthly files of each fleet: a month of either has columns as text, vendor
+    numbers as fractions, and one more file is no Parquet."""
 
     def build() -> str:
         base = fresh_path(spark, "landing")
         for name, frame in fleet_frames(spark, sf_dir).items():
+            month, words = DRIFTING[name]
             pickup = FLEETS[name].native([PICKUP])[0]
-            month = calendar.year_month(F.year(pickup), F.month(pickup))
-            entry = F.concat(F.lit(f"{name}_tripdata_"), month, F.lit(landing.SUFFIX))
-            files = frame.withColumn("entry", entry).hint("rebalance", "entry")
-            files.write.partitionBy("entry").parquet(f"{base}/{name}")
+            drifts = F.month(pickup) == month
+            _deliver(frame.where(~drifts | F.col(pickup).isNull()), name, base, name)
+            native = dict(zip(FLEETS[name].native(words), words.values(), strict=True))
+            text = {c: F.coalesce(F.col(c).cast("string"), F.lit(w)) for c, w in native.items()}
+            text[VENDOR] = F.col(VENDOR).cast("double")
+            _deliver(frame.where(drifts).withColumns(text), name, base, f"{name}-as-text")
         broken = f"{base}/damaged/entry=green_tripdata_2024-06{landing.SUFFIX}"
         read_events(spark, sf_dir).select("props").write.text(broken)
         return base
@@ -116,7 +153,7 @@ def ingested(spark: SparkSession, sf_dir: str) -> landing.Ingest:
 
 def scan_parquet(spark, sf_dir):
     """The plain scan of both fleets' files, under their own column names."""
-    base = landing_folder(spark, sf_dir)
+    base = plain_folder(spark, sf_dir)
     fleets = [spark.read.parquet(f"{base}/{name}") for name in FLEETS]
     return unify.union_all([frame.drop("entry") for frame in fleets])
 
@@ -134,6 +171,12 @@ def ingest_success_rate(spark, sf_dir):
     return landing.success_rate(landing.entry_outcomes(outcomes))
 
 
+def ingest_type_drift(spark, sf_dir):
+    """Values per file and column that were no number or time where one belongs."""
+    outcomes = landing.outcome_frame(spark, ingested(spark, sf_dir).outcomes)
+    return landing.lost_values(outcomes)
+
+
 def provenance_columns(spark, sf_dir):
     return ingested(spark, sf_dir).raw.select(
         ID,
@@ -269,6 +312,52 @@ def refresh_new_files(spark, sf_dir):
     return rounded(lake.read("gold"))
 
 
+def refresh_after_death(spark, sf_dir):
+    """The same, but the first attempt dies when raw has been replaced."""
+    lake = scratch_lake(spark, "interrupted")
+    raw = ingested(spark, sf_dir).raw
+    again = F.col("year_month") == "2024-03"
+    refresh(lake, raw.where(~again | (F.col(ID) % 2 == 0)).drop(ID))
+    dying = Layers()
+    object.__setattr__(dying, "silver", None)  # bronze is written, silver cannot be
+    try:
+        refresh_partitions(lake, raw.where(again).drop(ID), dying)
+    except TypeError:
+        finish_refresh(lake)
+    return rounded(lake.read("gold"))
+
+
+def refresh_one_month(spark, sf_dir):
+    """Raw files read to refresh one month, out of all of them."""
+    lake = layer_tables(spark, sf_dir)
+    month = [(name, PERIOD.year, PERIOD.month) for name in FLEETS]
+    rows = rows_of(lake, month)
+    all_files = lake.files("raw").groupBy(FLEET).agg(F.count(F.lit(1)).alias("all_files"))
+    read = rows.select(FLEET, file_path().alias("path")).distinct().groupBy(FLEET).agg(
+        F.count(F.lit(1)).alias("files_read")
+    )
+    pickup = (F.year(PICKUP) == PERIOD.year) & (F.month(PICKUP) == PERIOD.month)
+    trips_found = rows.where(pickup).groupBy(FLEET).agg(F.count(F.lit(1)).alias("n_rows"))
+    return trips_found.join(read, FLEET).join(all_files, FLEET).select(
+        FLEET, "n_rows", (F.col("files_read") * 3 <= F.col("all_files")).alias("few_files")
+    )
+
+
+def quarantine_write(spark, sf_dir):
+    """Rows kept and rejected by bronze and silver, per partition and reasons."""
+    lake = scratch_lake(spark, "quarantine")
+    refresh(lake, ingested(spark, sf_dir).raw.drop(ID), quarantine=True)
+    parts = []
+    for layer in ("bronze", "silver"):
+        kept = lake.read(layer).withColumn("reasons", F.lit("kept"))
+        gone = lake.read(rejects(layer))
+        gone = gone.withColumn("reasons", F.array_join(quality.REASONS, "+"))
+        for rows in (kept, gone):
+            counted = rows.groupBy(*PARTITIONING, "reasons").agg(F.count(F.lit(1)).alias("n_rows"))
+            parts.append(counted.withColumn("layer", F.lit(layer)))
+    return unify.union_all(parts)
+
+
 def compact_table(spark, sf_dir):
     """Scatter a table over one file per core and partition, then compact it."""
     lake = scratch_lake(spark, "compacted")
@@ -310,6 +399,72 @@ def clustered_write(spark, sf_dir):
     )
 
 
+def zorder_write(spark, sf_dir):
+    """Z-order a table by pickup and amount; either column alone skips files."""
+    lake = scratch_lake(spark, "zordered")
+    lake.write("silver", _numbered(spark, sf_dir))
+    lake.zorder("silver", PICKUP, AMOUNT, target_bytes=max(1, lake.size("silver") // 64))
+    table = lake.read("silver").withColumn("file", file_path())
+    reports = []
+    for name in (PICKUP, AMOUNT):
+        # A fiftieth of the rows, from the middle of the column.
+        value = as_number(lake.read("silver"), name)
+        low, high = lake.read("silver").select(value.alias("v")).approxQuantile("v", [0.5, 0.52], 0.001)
+        in_file = table.groupBy("file").agg(
+            F.count(F.lit(1)).alias("n"), F.min(value).alias("least"), F.max(value).alias("most")
+        )
+        met = (F.col("least") <= high) & (F.col("most") >= low)
+        reports.append(
+            in_file.agg(
+                F.sum("n").alias("n_rows"),
+                (F.count_if(met) * 2 < F.count(F.lit(1))).alias("skips_half"),
+            ).withColumn("column_name", F.lit(name))
+        )
+    return unify.union_all(reports)
+
+
+def hash_tree_diff(spark, sf_dir):
+    """Rows changed in one month, found by descending a hash tree."""
+    lake = scratch_lake(spark, "hashed")
+    lake.write("silver", _numbered(spark, sf_dir), PARTITIONING, rebalance=True)
+    before = snapshot(lake, "silver")
+    month = lake.read("silver").where(F.col(MONTH) == PERIOD.month)
+    raised = F.when(F.col(ID) % 50 == 3, F.col(AMOUNT) + 1).otherwise(F.col(AMOUNT))
+    lake.write_partitions("silver", month.withColumn(AMOUNT, raised))
+    after = snapshot(lake, "silver", before)
+    files = differences(spark, before, after, PARTITIONING)
+    return changed_rows(lake, "silver", files).select(
+        *PARTITIONING, ID, "side", F.round(AMOUNT, 6).alias(AMOUNT)
+    )
+
+
+def dq_sketches(spark, sf_dir):
+    """Quantiles from merged sketches of partitions, and whether their ranks are near."""
+    lake = layer_tables(spark, sf_dir)
+    build(lake)
+    per_mille = [250, 500, 750, 950]
+    found = estimates(lake.read(SKETCHES), per_mille)
+    rows = lake.read("silver")
+    reports = []
+    for row in found.collect():  # one row per column
+        value = F.col(row["metric"])
+        for share, estimate in zip(per_mille, row["quantiles"], strict=True):
+            below, upto = F.count_if(value < estimate), F.count_if(value <= estimate)
+            slack = F.count(value) * RANK_ERROR
+            near = (below <= F.count(value) * share / 1000 + slack) & (
+                upto >= F.count(value) * share / 1000 - slack
+            )
+            report = rows.agg(F.count(value).alias("n_values"), near.alias("near"))
+            known = F.lit(row["n_values"]) == F.col("n_values")
+            reports.append(
+                report.select(
+                    F.lit(row["metric"]).alias("metric"), F.lit(share).alias("per_mille"),
+                    "n_values", (F.col("near") & known).alias("within_bound"),
+                )
+            )
+    return unify.union_all(reports)
+
+
 # Schema unification.
 
 
@@ -436,6 +591,7 @@ def all_queries() -> dict[str, Query]:
         "manifest_total": manifest_total,
         "manifest_missing": manifest_missing,
         "ingest_success_rate": ingest_success_rate,
+        "ingest_type_drift": ingest_type_drift,
         "layer_read": layer_read,
         "layer_counts": layer_counts,
         # sinks
@@ -447,6 +603,11 @@ def all_queries() -> dict[str, Query]:
         "table_stats": table_stats,
         "gold_sample": gold_sample,
         "refresh_new_files": refresh_new_files,
+        "refresh_after_death": refresh_after_death,
+        "refresh_one_month": refresh_one_month,
+        "quarantine_write": quarantine_write,
+        "zorder_write": zorder_write,
+        "hash_tree_diff": hash_tree_diff,
         # unification
         "union_sources": union_sources,
         "standardize_schema": standardize_schema,
@@ -526,6 +687,10 @@ def all_queries() -> dict[str, Query]:
         "dq_checksum": lambda s, d: profile.checksum(
             trips(s, d).drop("ingestion_timestamp"), FLEET, "year_month"
         ),
+        "dq_group_quantiles": lambda s, d: rounded(
+            group_quantiles(silver(s, d), [AMOUNT, DISTANCE, DURATION], [FLEET, MONTH], [500, 950])
+        ),
+        "dq_sketches": dq_sketches,
         "dq_distribution": lambda s, d: rounded(
             distribution(silver(s, d), [AMOUNT, DISTANCE, DURATION])
         ),

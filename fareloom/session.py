@@ -1,11 +1,13 @@
-"""Where a session keeps the tables it writes on the way."""
+"""Where a session keeps the tables it writes on the way, and finds this package."""
 
 from __future__ import annotations
 
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
+ROOT = str(Path(__file__).resolve().parents[1])
 SHARED_DIR = "spark.checkpoint.dir"
 WAREHOUSE = "spark.sql.warehouse.dir"
 
@@ -24,3 +26,11 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing was written to before."""
     return f"{shared_root(spark)}/{name}-{uuid4().hex[:12]}"
+
+
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it."""
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "")
+    if ROOT not in paths.split(":"):
+        environment["PYTHONPATH"] = f"{paths}:{ROOT}" if paths else ROOT

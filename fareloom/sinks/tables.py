@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from math import ceil
 from urllib.parse import quote, unquote
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from fareloom.contract import LAYER_TABLES
+from fareloom.contract import LAYER_TABLES, SIDE_TABLES
 from fareloom.operators.unify import union_all
+from fareloom.operators.zorder import with_z
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 SMALL_SHARE = 4  # a file below a fourth of the target is small
 SHUFFLE_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 SCAN_BYTES, SCAN_TASKS = "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
-WRITTEN = "fareloom.written"  # table property: folders the lake wrote for a table
+VERSION = "v-"  # fixed value: how the names of folders begin that the lake writes
+PER_STATEMENT = 100  # partitions that one change of the catalogue adds
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder name for null
 
 
@@ -49,6 +51,7 @@ class Lake:
     schema: str
     location: str
     tables: dict[str, str] = field(default_factory=lambda: dict(LAYER_TABLES))
+    beside: dict[str, str] = field(default_factory=lambda: dict(SIDE_TABLES))
 
     def create(self) -> Lake:
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{self.schema}` LOCATION '{self.location}'")
@@ -58,11 +61,20 @@ class Lake:
         """Make the schema the current one, for SQL with bare table names."""
         self.spark.sql(f"USE `{self.schema}`")
 
+    def name(self, layer: str) -> str:
+        """Table name of a layer, or of a table beside them; others are an error."""
+        known = self.tables | self.beside
+        if layer not in known:
+            raise KeyError(f"unknown layer {layer!r}, expected one of {sorted(known)}")
+        return known[layer]
+
     def table(self, layer: str) -> str:
-        """Qualified table name of a layer; an unknown layer is an error."""
-        if layer not in self.tables:
-            raise KeyError(f"unknown layer {layer!r}, expected one of {sorted(self.tables)}")
-        return f"`{self.schema}`.`{self.tables[layer]}`"
+        """Qualified table name of a layer."""
+        return f"`{self.schema}`.`{self.name(layer)}`"
+
+    def root(self, layer: str) -> str:
+        """The folder that all data of a layer lies below."""
+        return f"{self.location.rstrip('/')}/{self.name(layer)}"
 
     def read(self, layer: str) -> DataFrame:
         return self.spark.table(self.table(layer))
@@ -86,10 +98,14 @@ class Lake:
             df = df.hint("rebalance", *partition_by)
         return self._replace(layer, df, partition_by)
 
-    def write_partitions(self, layer: str, df: DataFrame) -> WriteReport:
+    def write_partitions(
+        self, layer: str, df: DataFrame, before: Callable[[str], None] | None = None
+    ) -> WriteReport:
         """Replace only those partitions of a layer that `df` has rows for.
 
         New columns are added to the table, and columns that `df` lacks are null.
+        `before` is called with the folder that the rows are stored in, while the
+        table still has its old ones.
         """
         keys, known = self.partitioning(layer), self.read(layer).schema
         present = {name.lower() for name in df.columns}
@@ -101,11 +117,16 @@ class Lake:
             *(name for name in df.columns if name.lower() not in {f.name.lower() for f in known}),
         )
         path, rows = self._store(layer, fitting, keys)
+        if before:
+            before(path)
         self._add_columns(layer, fitting.schema)
         self._point_partitions(layer, keys, path)
-        self._record(layer, path)
         return WriteReport(self.table(layer), path, rows)
 
+    def partitions_below(self, layer: str, path: str) -> list[tuple]:
+        """Values of the partitions that a write stored in a folder, as text or None."""
+        return [values for values, _ in self._folders(self.partitioning(layer), path)]
+
     def drop_partitions(self, layer: str, values: Sequence[Sequence]) -> None:
         """Take partitions, given by their values, out of a layer."""
         keys = self.partitioning(layer)
@@ -150,7 +171,6 @@ class Lake:
         rows = rows.join(wanted, same, "left_semi")
         path, count = apart._store(layer, rows.hint("rebalance", *keys), keys)
         self._point_partitions(layer, keys, path)
-        self._record(layer, path)
         return WriteReport(self.table(layer), path, count)
 
     def cluster(self, layer: str, *order: str, target_bytes: int = TARGET_FILE_BYTES) -> WriteReport:
@@ -165,6 +185,19 @@ class Lake:
         ranged = self.read(layer).repartitionByRange(files, *keys, *order)
         return self._replace(layer, ranged.sortWithinPartitions(*keys, *order), keys)
 
+    def zorder(self, layer: str, *columns: str, target_bytes: int = TARGET_FILE_BYTES) -> WriteReport:
+        """Rewrite a layer so that files hold small ranges of each of some columns.
+
+        The ranges run over partition columns first, then over the columns' z-value,
+        so a filter on any of them skips files. Bounds of ranks and ranges come from
+        sketches and samples; equal values share a rank.
+        """
+        keys = self.partitioning(layer)
+        files = max(1, ceil(self.size(layer) / target_bytes))
+        valued = with_z(self.read(layer), columns, "__z")
+        ranged = valued.repartitionByRange(files, *keys, "__z")
+        return self._replace(layer, ranged.sortWithinPartitions(*keys, "__z").drop("__z"), keys)
+
     def files(self, layer: str) -> DataFrame:
         """Data files of a layer with partition values and size; no column is read."""
         file = F.col("_metadata")
@@ -181,21 +214,35 @@ class Lake:
     def expire(self, layer: str) -> list[str]:
         """Delete folders that the lake wrote for a layer and that it uses no more.
 
-        Readers that began before the last write may still read them, so this is
-        for a time when none does. Returns the folders deleted.
+        Readers that began before the last write may still read them, and a write
+        that goes on has a folder too, so this is for a time without either.
+        Returns the folders deleted.
         """
-        written = self._written(layer)
-        version = F.regexp_extract("path", f"/({self.tables[layer]}/v-[0-9a-f]+)/", 1)
-        used = {row[0] for row in self.files(layer).select(version).distinct().collect()}
-        used.add("/".join(written[-1].rsplit("/", 2)[1:]) if written else "")
-        old = [path for path in written if "/".join(path.rsplit("/", 2)[1:]) not in used]
-        jvm = self.spark.sparkContext._jvm
-        for path in old:
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-            folder.getFileSystem(conf).delete(folder, True)
-        self._set_written(layer, [path for path in written if path not in old])
-        return old
+        written = self.versions(layer)
+        pattern = f"/{self.name(layer)}/({VERSION}[0-9a-f]+)/"
+        version = F.regexp_extract("path", pattern, 1)
+        sharing = [layer, *(other for other in (f"{layer}_rejects",) if other in self.beside)]
+        used = {
+            row[0]
+            for other in sharing
+            if self.has(other)
+            for row in self.files(other).select(version).distinct().collect()
+        }
+        used |= set(written[-1:])  # it may have no rows
+        old = [name for name in written if name not in used]
+        paths = [f"{self.root(layer)}/{name}" for name in old]
+        for path in paths:
+            delete_folder(self.spark, path)
+        return paths
+
+    def versions(self, layer: str) -> list[str]:
+        """Names of the folders that were written for a layer, the oldest first."""
+        folders = folders_below(self.spark, self.root(layer))
+        return [name for name in folders if name.startswith(VERSION)]
+
+    def stored(self, layer: str, path: str) -> DataFrame:
+        """What a write of a layer stored, with the table's columns."""
+        return self.spark.read.schema(self.read(layer).schema).parquet(path)
 
     def analyze(self, layer: str) -> dict[str, int]:
         """Compute table statistics and return them."""
@@ -228,7 +275,7 @@ class Lake:
     def recover(self, layer: str) -> None:
         """Finish the exchange of tables that a job left half way."""
         names = {t.name for t in self.spark.catalog.listTables(self.schema)}
-        name = self.tables[layer]
+        name = self.name(layer)
         if f"{name}__coming" in names:
             coming = f"`{self.schema}`.`{name}__coming`"
             if name not in names:
@@ -244,38 +291,53 @@ class Lake:
                 session.conf.set(name, value)
         for name, value in settings.items():
             session.conf.set(name, str(value))
-        return Lake(session, self.schema, self.location, self.tables)
+        return Lake(session, self.schema, self.location, self.tables, self.beside)
 
     def _replace(self, layer: str, df: DataFrame, keys: Sequence[str]) -> WriteReport:
         path, rows = self._store(layer, df, keys)
+        return self.adopt(layer, df.schema, keys, path, rows)
+
+    def adopt(
+        self, layer: str, schema: StructType, keys: Sequence[str], path: str, rows: int
+    ) -> WriteReport:
+        """Let a layer stand for what a write stored in a folder, and for nothing else."""
         self.recover(layer)
-        written = self._written(layer)
-        if not self._fits(layer, df.schema, keys):
-            self._make(layer, df.schema, keys, path)
+        if not self._fits(layer, schema, keys):
+            self._make(layer, schema, keys, path)
         else:
-            self._add_columns(layer, df.schema)
+            self._add_columns(layer, schema)
             if keys:
                 self._point_partitions(layer, keys, path, all_of_them=True)
             else:
                 self.spark.sql(f"ALTER TABLE {self.table(layer)} SET LOCATION '{path}'")
                 self.spark.catalog.refreshTable(self.table(layer))
-        self._set_written(layer, [*written, path])
         return WriteReport(self.table(layer), path, rows)
 
     def _store(self, layer: str, df: DataFrame, keys: Sequence[str]) -> tuple[str, int]:
-        """Write to a fresh folder of the lake; returns it and the rows counted on the way."""
-        path = f"{self.location.rstrip('/')}/{self.tables[layer]}/v-{uuid4().hex[:12]}"
+        path, counts = self.store(layer, df, keys)
+        return path, counts["rows"]
+
+    def store(
+        self, layer: str, df: DataFrame, keys: Sequence[str], **counts: Column
+    ) -> tuple[str, dict[str, int]]:
+        """Write to a fresh folder of the lake, which no table stands for yet.
+
+        Returns the folder, and the rows and further `counts` taken on the way.
+        """
+        path = f"{self.root(layer)}/{VERSION}{uuid4().hex[:12]}"
         counted = Observation()
-        writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
+        more = (value.alias(name) for name, value in counts.items())
+        writer = df.observe(counted, F.count(F.lit(1)).alias("rows"), *more).write
         (writer.partitionBy(*keys) if keys else writer).parquet(path)
-        return path, counted.get["rows"]
+        return path, counted.get
 
-    def _exists(self, layer: str) -> bool:
-        return layer in self.existing()
+    def has(self, layer: str) -> bool:
+        """Whether the table of a layer exists."""
+        return self.spark.catalog.tableExists(f"{self.schema}.{self.name(layer)}")
 
     def _fits(self, layer: str, schema: StructType, keys: Sequence[str]) -> bool:
         """Whether a table can take these columns by adding some."""
-        if not self._exists(layer) or self.partitioning(layer) != list(keys):
+        if not self.has(layer) or self.partitioning(layer) != list(keys):
             return False
         known = {f.name.lower(): f.dataType for f in self.read(layer).schema}
         return all(known.get(f.name.lower(), f.dataType) == f.dataType for f in schema)
@@ -289,7 +351,7 @@ class Lake:
 
     def _make(self, layer: str, schema: StructType, keys: Sequence[str], path: str) -> None:
         """A new table for the files below a folder, complete before it has its name."""
-        table, coming = self.table(layer), f"`{self.schema}`.`{self.tables[layer]}__coming`"
+        table, coming = self.table(layer), f"`{self.schema}`.`{self.name(layer)}__coming`"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         partitioned = f"PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)})" if keys else ""
         self.spark.sql(
@@ -300,20 +362,6 @@ class Lake:
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         self.spark.sql(f"ALTER TABLE {coming} RENAME TO {table}")
 
-    def _written(self, layer: str) -> list[str]:
-        if not self._exists(layer):
-            return []
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.table(layer)}").collect()
-        found = {row["key"]: row["value"] for row in rows}
-        return [path for path in found.get(WRITTEN, "").split("\t") if path]
-
-    def _set_written(self, layer: str, paths: Sequence[str]) -> None:
-        value = _literal("\t".join(paths))
-        self.spark.sql(f"ALTER TABLE {self.table(layer)} SET TBLPROPERTIES ('{WRITTEN}' = {value})")
-
-    def _record(self, layer: str, path: str) -> None:
-        self._set_written(layer, [*self._written(layer), path])
-
     def _folders(self, keys: Sequence[str], path: str) -> list[tuple[tuple, str]]:
         """Partition values, as text or None, and folder of what a write left.
 
@@ -340,21 +388,35 @@ class Lake:
         """Make the partitions written below a folder stand for those of the table;
         with `all_of_them`, other partitions go."""
         table = table or self.table(layer)
-        folders = self._folders(keys, path)
-        for values, folder in folders:
-            partition, location = self._spec(keys, values), f"LOCATION {_literal(folder)}"
-            self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partition} {location}")
-            self.spark.sql(f"ALTER TABLE {table} {partition} SET {location}")
+        folders = dict(self._folders(keys, path))
+        present = self._partitions(table, keys, folders)
+        new = [
+            f"{self._spec(keys, values)} LOCATION {_literal(folder)}"
+            for values, folder in folders.items()
+            if values not in present
+        ]
+        for start in range(0, len(new), PER_STATEMENT):
+            some = " ".join(new[start : start + PER_STATEMENT])
+            self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {some}")
+        for values in present & folders.keys():
+            partition, location = self._spec(keys, values), _literal(folders[values])
+            self.spark.sql(f"ALTER TABLE {table} {partition} SET LOCATION {location}")
         if all_of_them:
-            kept = {values for values, _ in folders}
-            for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect():
-                parts = dict(part.split("=", 1) for part in row["partition"].split("/"))
-                texts = tuple(unquote(parts[key]) for key in keys)
-                values = tuple(None if t in (NO_VALUE, "null") and t not in kept else t for t in texts)
-                if values not in kept and texts not in kept:
-                    self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {self._spec(keys, values)}")
+            for values in present - folders.keys():
+                self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {self._spec(keys, values)}")
         self.spark.catalog.refreshTable(table)
 
+    def _partitions(self, table: str, keys: Sequence[str], coming) -> set[tuple]:
+        """Values of a table's partitions; the catalogue says null as text, which is
+        taken for the value only if that one is coming."""
+        found = set()
+        for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect():
+            parts = dict(part.split("=", 1) for part in row["partition"].split("/"))
+            texts = tuple(unquote(parts[key]) for key in keys)
+            values = tuple(None if t in (NO_VALUE, "null") else t for t in texts)
+            found.add(texts if texts in coming else values)
+        return found
+
     @staticmethod
     def _spec(keys: Sequence[str], values: Sequence[str | None]) -> str:
         pairs = (
@@ -368,3 +430,41 @@ def _literal(text: str) -> str:
     """A SQL string literal."""
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
+
+
+def _folder(spark: SparkSession, path: str):
+    """A path and the file system it lies in."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, folder = _folder(spark, path)
+    system.delete(folder, True)
+
+
+def folders_below(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path, the oldest first; none if it is not there."""
+    system, folder = _folder(spark, path)
+    if not system.exists(folder):
+        return []
+    found = [f for f in system.listStatus(folder) if f.isDirectory()]
+    found = [(f.getModificationTime(), f.getPath().getName()) for f in found]
+    return [name for _, name in sorted(found)]
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write of Spark to a folder came to its end."""
+    system, marker = _folder(spark, f"{path}/_SUCCESS")
+    return system.exists(marker)
+
+
+def plain_path(path: str) -> str:
+    """A path without what differs between Spark's ways of writing it."""
+    return unquote(path).replace("///", "/", 1)
+
+
+def spellings(path: str) -> list[str]:
+    """The ways in which Spark may write a file's path; a filter on its path asks for them all."""
+    short = path.replace("///", "/", 1)
+    return sorted({path, short, unquote(path), unquote(short)})

@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from fareloom.contract import CONTRACT, FLEET, FLEETS, Fleet
+from fareloom.operators.drift import as_type, losses, promoted
 from fareloom.operators.unify import conform, rename_native, union_all
+from fareloom.sources.footers import read_footers
 
 SUFFIX = ".parquet"  # fixed value: trip files are <fleet>_tripdata_<yyyy-MM>.parquet
-UNREADABLE = (PySparkException, Py4JJavaError)  # what reading a bad footer raises
 OK, FAILED, SKIPPED = "ok", "failed", "skipped"
 
 
@@ -35,13 +33,15 @@ class Entry:
 
 @dataclass(frozen=True)
 class Outcome:
-    """What became of a file: read (with its rows), failed (with the error), or
-    skipped, as its name says no fleet and month."""
+    """What became of a file: read (with its rows, and the values per column that
+    the column's type could not hold), failed (with the error), or skipped, as its
+    name says no fleet and month."""
 
     entry: Entry
     status: str
     error: str | None = None
     n_rows: int = 0
+    lost: Mapping[str, int] = field(default_factory=dict)
 
     @property
     def ok(self) -> bool:
@@ -152,15 +152,22 @@ def landing_entries(spark: SparkSession, base: str) -> list[Entry]:
     ]
 
 
-def typed(frame: DataFrame) -> DataFrame:
-    """Cast the contract columns a frame has, and keep the others as they are."""
+def typed(frame: DataFrame, others: Mapping[str, str] | None = None) -> DataFrame:
+    """Contract columns in the contract's types, other columns in the given ones."""
     contract = {name.lower(): name for name in CONTRACT}
     inside = [contract[c.lower()] for c in frame.columns if c.lower() in contract]
-    others = [f"`{c}`" for c in frame.columns if c.lower() not in contract]
-    return frame.selectExpr(*conform(frame, inside), *others)
+    kinds = {f.name: f.dataType.simpleString() for f in frame.schema}
+    rest = [
+        f"{as_type(f'`{name}`', kind, (others or {}).get(name, kind))} AS `{name}`"
+        for name, kind in kinds.items()
+        if name.lower() not in contract
+    ]
+    return frame.selectExpr(*conform(frame, inside), *rest)
 
 
-def with_provenance(files: DataFrame, fleet: Fleet) -> DataFrame:
+def with_provenance(
+    files: DataFrame, fleet: Fleet, others: Mapping[str, str] | None = None
+) -> DataFrame:
     """A fleet's files under canonical names and types, with where rows came from.
 
     The fleet is a literal, so a filter on it drops the scan; file name and month
@@ -175,54 +182,38 @@ def with_provenance(files: DataFrame, fleet: Fleet) -> DataFrame:
                 "source_file": name,
                 "ingestion_timestamp": F.current_timestamp(),
             }
-        )
+        ),
+        others,
     )
 
 
-def _message(error: Exception) -> str:
-    lines = [line for line in str(error).splitlines() if line.strip(": ")]
-    return f"{type(error).__name__}: {(lines or [''])[0]}"
-
-
-def _merge(one: StructType, other: StructType) -> StructType | None:
-    """Both schemas in one; None if a column has two types."""
-    kinds = {f.name: f.dataType for f in one}
-    if any(kinds.get(f.name, f.dataType) != f.dataType for f in other):
+def _merge(one: Mapping[str, str], other: Mapping[str, str]) -> dict[str, str] | None:
+    """Columns and types of both schemas; None if a column has two types."""
+    if any(one.get(name, kind) != kind for name, kind in other.items()):
         return None
-    return StructType([*one.fields, *(f for f in other if f.name not in kinds)])
-
+    return {**one, **other}
 
-def _schemas(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
-    """Files grouped by schemas that have one type per column.
 
-    Footers are read by a job over all files. If that fails, for types that differ
-    or a damaged footer, the files are halved until it does not, and groups that
-    agree are put together. Files without a readable footer are in no group.
-    """
-    reader = spark.read.option("mergeSchema", "true")
-    try:
-        return [(reader.parquet(*paths).schema, list(paths))]
-    except UNREADABLE:
-        if len(paths) == 1:
-            return []
-    groups: list[tuple[StructType, list[str]]] = []
-    half = len(paths) // 2
-    for schema, found in _schemas(spark, paths[:half]) + _schemas(spark, paths[half:]):
+def _groups(schemas: Iterable[tuple[str, dict[str, str]]]) -> list[tuple[dict[str, str], list[str]]]:
+    """Files, as pairs of path and schema, grouped so that a column has one type."""
+    alike: dict[tuple, list[str]] = {}
+    for path, schema in schemas:
+        alike.setdefault(tuple(schema.items()), []).append(path)
+    groups: list[tuple[dict[str, str], list[str]]] = []
+    for columns, paths in alike.items():
         for i, (known, members) in enumerate(groups):
-            merged = _merge(known, schema)
+            merged = _merge(known, dict(columns))
             if merged is not None:
-                groups[i] = (merged, members + found)
+                groups[i] = (merged, members + paths)
                 break
         else:
-            groups.append((schema, found))
+            groups.append((dict(columns), paths))
     return groups
 
 
-def _rows_per_file(spark: SparkSession, schema: StructType, paths: Sequence[str]) -> dict[str, int]:
-    """Rows of each readable file that has any, from footers."""
-    files = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*paths)
-    found = files.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
-    return {_plain(row["path"]): row["n"] for row in found.collect()}
+def _frame(spark: SparkSession, schema: Mapping[str, str], paths: Sequence[str]) -> DataFrame:
+    fields = [StructField(name, DataType.fromDDL(kind)) for name, kind in schema.items()]
+    return spark.read.schema(StructType(fields)).parquet(*paths)
 
 
 def _plain(path: str) -> str:
@@ -230,54 +221,63 @@ def _plain(path: str) -> str:
     return unquote(path).replace("///", "/", 1)
 
 
-def _probe(spark: SparkSession, path: str) -> str | None:
-    """The error that reading one file's footer raises, if any."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-    except UNREADABLE as error:
-        return _message(error)
-    return None
-
-
-def _outcomes(spark: SparkSession, entries: Sequence[Entry], rows: dict[str, int]) -> list[Outcome]:
-    """A file without rows is empty or damaged: only those are looked at one by one."""
-    silent = [e for e in entries if _plain(e.path) not in rows]
-    with ThreadPoolExecutor(16) as pool:
-        errors = dict(zip(silent, pool.map(lambda e: _probe(spark, e.path), silent), strict=True))
-    return [
-        Outcome(e, FAILED, errors[e]) if errors.get(e) else Outcome(e, OK, None, rows.get(_plain(e.path), 0))
-        for e in entries
-    ]
+def _lost(frames: Sequence[tuple[DataFrame, Fleet]]) -> dict[str, dict[str, int]]:
+    """Values lost per file and canonical column, in one job over drifting columns."""
+    counts = []
+    for files, fleet in frames:
+        renamed = rename_native(files, fleet)
+        path = F.col("_metadata.file_path").alias("path")
+        found = losses(renamed, CONTRACT, path)
+        if found is not None:
+            counts.append(found)
+    lost: dict[str, dict[str, int]] = {}
+    for row in union_all(counts).collect() if counts else []:
+        lost.setdefault(_plain(row["path"]), {})[row["column_name"]] = row["n_lost"]
+    return lost
 
 
 def ingest(spark: SparkSession, entries: Iterable[Entry]) -> Ingest:
     """Read all files, in one scan per fleet and set of column types.
 
-    Every file has an outcome, and a damaged one is left out alone. Columns are
-    renamed and typed before the union, which goes by name: a column that only
-    some files have is null for the others, whatever the order of files.
+    Footers are read first, all in one job: a damaged file is left out alone, and
+    files are grouped by the types of their columns. Every file has an outcome.
+    Columns are renamed and typed before the union, which goes by name: a column
+    that only some files have is null for the others, whatever the order of
+    files, and one of several types takes the type that holds them all.
     """
     entries = list(entries)
     outcomes = [Outcome(e, SKIPPED) for e in entries if e.fleet is None]
+    named = [e for e in entries if e.fleet is not None]
+    footers = {}
+    if named:
+        footers = {row["path"]: row for row in read_footers(spark, [e.path for e in named]).collect()}
+    schemas = {
+        path: {column["name"]: column["kind"] for column in row["columns"]}
+        for path, row in footers.items()
+        if row["error"] is None
+    }
     frames = []
-    for name in sorted({e.fleet for e in entries if e.fleet is not None}):
-        own = [e for e in entries if e.fleet == name]
-        by_path = {e.path: e for e in own}
-        grouped = _schemas(spark, list(by_path))
-        for schema, paths in grouped:
-            rows = _rows_per_file(spark, schema, paths)
-            found = _outcomes(spark, [by_path[path] for path in paths], rows)
-            outcomes += found
-            readable = [o.entry.path for o in found if o.ok]
-            if readable:
-                files = spark.read.schema(schema).parquet(*readable)
-                frames.append(with_provenance(files, FLEETS.get(name, Fleet(name))))
-        placed = {path for _, paths in grouped for path in paths}
-        outcomes += _outcomes(spark, [e for e in own if e.path not in placed], {})
+    for name in sorted({e.fleet for e in named}):
+        own = [(e.path, schemas[e.path]) for e in named if e.fleet == name and e.path in schemas]
+        fleet = FLEETS.get(name, Fleet(name))
+        frames += [(_frame(spark, schema, paths), fleet) for schema, paths in _groups(own)]
+    lost = _lost(frames)
+    for entry in named:
+        footer = footers[entry.path]
+        if footer["error"] is not None:
+            outcomes.append(Outcome(entry, FAILED, footer["error"]))
+        else:
+            own = lost.get(_plain(entry.path), {})
+            outcomes.append(Outcome(entry, OK, None, footer["n_rows"], own))
     if not frames:
         errors = "; ".join(o.error for o in outcomes if o.error) or "no entries"
         raise ValueError(f"no trip file could be read: {errors}")
-    return Ingest(union_all(frames), sorted(outcomes, key=lambda o: o.entry.path))
+    others = promoted(
+        {f.name: f.dataType.simpleString() for f in rename_native(files, fleet).schema}
+        for files, fleet in frames
+    )
+    raw = union_all([with_provenance(files, fleet, others) for files, fleet in frames])
+    return Ingest(raw, sorted(outcomes, key=lambda o: o.entry.path))
 
 
 def outcome_frame(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame:
@@ -286,12 +286,12 @@ def outcome_frame(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame
         [
             (
                 o.entry.fleet, o.entry.year_month, o.entry.file_name, o.entry.path, o.status,
-                o.error, o.n_rows, o.entry.n_bytes,
+                o.error, o.n_rows, o.entry.n_bytes, dict(o.lost),
             )
             for o in outcomes
         ],
         f"{FLEET} string, year_month string, source_file string, path string, status string, "
-        "error string, n_rows bigint, n_bytes bigint",
+        "error string, n_rows bigint, n_bytes bigint, n_lost map<string, bigint>",
     )
 
 
@@ -306,6 +306,15 @@ def entry_outcomes(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def lost_values(outcomes: DataFrame) -> DataFrame:
+    """Rows, and values that did not fit their column's type, per trip file name and column."""
+    named = outcomes.where(F.col("status") == OK)
+    lost = named.select("source_file", F.explode("n_lost").alias("column_name", "n_lost"))
+    lost = lost.groupBy("source_file", "column_name").agg(F.sum("n_lost").alias("n_lost"))
+    rows = named.groupBy("source_file").agg(F.sum("n_rows").alias("n_rows"))
+    return lost.join(rows, "source_file")
+
+
 def success_rate(outcomes: DataFrame) -> DataFrame:
     ok = F.count_if(F.col("status") == "ok")
     total = F.count(F.lit(1))
