@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 from uuid import uuid4
 
@@ -38,11 +39,79 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/llm-{spark.sparkContext.applicationId}/{name}-{uuid4().hex[:12]}"
 
 
+_open_steps: list[list[str]] = []  # paths written inside `steps`, the innermost last
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: the rows, as a table in the shared folder."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if _open_steps:
+        _open_steps[-1].append(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.written_to = path
+    return found
+
+
+@contextmanager
+def steps(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete what `written` leaves inside, but for the tables that are kept.
+
+    What is kept has to be read from tables alone; then nothing is needed of the
+    steps before it. After an error the tables stay.
+    """
+    paths: list[str] = []
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df.written_to)
+        return df
+
+    _open_steps.append(paths)
+    try:
+        yield keep
+    finally:
+        _open_steps.pop()
+    for path in paths:
+        if path not in kept:
+            delete(spark, path)
+    if _open_steps:
+        _open_steps[-1].extend(kept)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folder.getFileSystem(conf).delete(folder, True)
+
+
+MAY_BE = "__may_be"
+_FILTER_BITS = 1 << 25
+_BITMAP = 1 << 15  # bits that one of Spark's bitmaps has
+
+
+def may_be(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Add `MAY_BE`: false only if a row's key (bigint) is none of the wanted ones.
+
+    `wanted` has one column. Its keys are hashed into bitmaps, 4 MB in all however
+    many there are, so rows are told apart where they lie; a row that only seems
+    wanted is left to the join that follows. Null keys are not wanted.
+    """
+    bit = F.pmod(F.xxhash64(F.col(wanted.columns[0])), F.lit(_FILTER_BITS)) + 1
+    bits = wanted.where(F.col(wanted.columns[0]).isNotNull()).select(bit.alias("__bit"))
+    maps = bits.groupBy(F.bitmap_bucket_number("__bit").alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("__bit")).alias("__map")
+    )
+    own = F.pmod(F.xxhash64(F.col(key)), F.lit(_FILTER_BITS)) + 1
+    placed = df.withColumns(
+        {"__at": F.bitmap_bucket_number(own), "__place": F.bitmap_bit_position(own)}
+    )
+    # At most a thousand bitmaps of 4 kB, so the broadcast is bounded.
+    both = placed.join(F.broadcast(maps), F.col("__at") == F.col("__bucket"), "left")
+    byte = "CAST(conv(hex(substring(__map, CAST(__place div 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    there = F.expr(f"shiftright({byte}, CAST(__place % 8 AS INT)) & 1 = 1")
+    there = F.coalesce(there & F.col(key).isNotNull(), F.lit(False))
+    return both.withColumn(MAY_BE, there).drop("__at", "__place", "__bucket", "__map")
 
 
 def vocabulary_path(name: str) -> str:

@@ -28,7 +28,6 @@ from fareloom.llm.common import batches, held_out, struct_array
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
 ROUNDS = 12
-LARGEST_SET = 3
 CACHED_WORDS = 120_000
 NONE = "und"
 _LETTERS = regex.compile(r"\p{L}+")
@@ -141,20 +140,61 @@ class Mixture:
             share = np.add.reduceat(weight, starts, axis=0) / lengths[:, None].astype(np.float32)
         return share, np.add.reduceat(np.log(total), starts, dtype=np.float64)
 
-    def _sets(self, likelihood, lengths, share, least, penalty):
+    def _in_sets(self, likelihood, starts, lengths, some, member):
+        """Fits and proportions of some documents, each in its own set of languages."""
+        own = lengths[some]
+        firsts = np.cumsum(own) - own
+        inside = np.arange(own.sum()) + np.repeat(starts[some] - firsts, own)
+        even = member / member.sum(axis=1, keepdims=True)
+        share, fit = self._proportions(likelihood[inside], firsts, own, even.astype(np.float32))
+        return fit, share
+
+    def _sets(self, likelihood, lengths, first, most, least, penalty):
         """Best set of two or more languages for documents whose penalised value
-        exceeds `least` in it: shares, all zero if there is none."""
-        n, wide = share.shape
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        exceeds `least` in it: shares, all zero if there is none.
+
+        `first` is each document's best single language, and `most` its fit in all
+        languages together, which no set exceeds; a document leaves when that tells
+        that no larger set can win.
+        """
+        n, wide = len(lengths), likelihood.shape[1]
+        starts = np.cumsum(lengths) - lengths
         best, best_share = least.copy(), np.zeros((n, wide), np.float32)
-        order = np.argsort(-share, axis=1, kind="stable")
-        for size in range(2, min(LARGEST_SET, wide) + 1):
-            start = np.zeros((n, wide), np.float32)
-            np.put_along_axis(start, order[:, :size], 1.0 / size, axis=1)
-            mixed, fit = self._proportions(likelihood, starts, lengths, start)
-            value = fit - size * penalty
-            better = value > best
-            best_share[better], best[better] = mixed[better], value[better]
+        member = np.arange(wide) == first[:, None]
+        fit, share = np.full(n, -np.inf), np.zeros((n, wide), np.float32)
+        found = member.copy()
+
+        def offer(some, candidate):
+            """Take over candidates that fit better than what the documents have found."""
+            if not len(some):
+                return False
+            fits, shares = self._in_sets(likelihood, starts, lengths, some, candidate)
+            better = fits > fit[some] + 1e-6
+            at = some[better]
+            fit[at], share[at], found[at] = fits[better], shares[better], candidate[better]
+            return bool(len(at))
+
+        for size in range(2, wide + 1):
+            here = np.flatnonzero(most - size * penalty > best)
+            if not len(here):
+                break
+            fit[:] = -np.inf
+            for more in range(wide):
+                some = here[~member[here, more]]
+                offer(some, member[some] | (np.arange(wide) == more))
+            moved = size < wide
+            while moved:
+                moved = False
+                for out in range(wide):
+                    for into in range(wide):
+                        some = here[found[here, out] & ~found[here, into]]
+                        candidate = found[some]
+                        candidate[:, out], candidate[:, into] = False, True
+                        moved |= offer(some, candidate)
+            member[here] = found[here]
+            value = fit[here] - size * penalty[here]
+            better = here[value > best[here]]
+            best_share[better], best[better] = share[better], fit[better] - size * penalty[better]
         return best_share
 
     def infer(self, texts: list[str]) -> tuple[list[str], list[float]]:
@@ -180,13 +220,14 @@ class Mixture:
         best_share[np.arange(n), alone.argmax(axis=1)] = 1.0
         least = alone.max(axis=1) - tops - penalty
         everyone = np.full((n, wide), 1.0 / wide, np.float32)
-        share, fit = self._proportions(likelihood, starts, lengths, everyone)
+        _, fit = self._proportions(likelihood, starts, lengths, everyone)
         # No set fits better than all languages together, which bounds its value.
         mixed = np.flatnonzero(fit - 2 * penalty > least)
         if len(mixed):
             inside = np.concatenate([np.arange(starts[i], starts[i] + lengths[i]) for i in mixed])
+            first = alone[mixed].argmax(axis=1)
             found = self._sets(
-                likelihood[inside], lengths[mixed], share[mixed], least[mixed], penalty[mixed]
+                likelihood[inside], lengths[mixed], first, fit[mixed], least[mixed], penalty[mixed]
             )
             better = found.any(axis=1)
             best_share[mixed[better]] = found[better]

@@ -163,10 +163,11 @@ class Scorer:
 
     def __init__(self, table: np.ndarray, bias: float):
         self.table, self.bias = table, bias
+        self.learnt = bool(bias or table.any())  # false without a labelled row
         self.known: dict[str, float] = {}
 
     def __getstate__(self):
-        return {"table": self.table, "bias": self.bias, "known": {}}
+        return {"table": self.table, "bias": self.bias, "learnt": self.learnt, "known": {}}
 
     def learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > CACHED_WORDS:

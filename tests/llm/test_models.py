@@ -43,11 +43,87 @@ def test_mixed_documents_have_both_languages():
     assert 0.55 < scores[2] < 0.8
 
 
-def test_trigram_counts_are_exact():
-    buckets, starts = language.trigrams(["ab", "c"])
-    same, _ = language.trigrams(["ab"])
-    assert buckets[:2].tolist() == same[:2].tolist()
-    assert buckets[2] == -1 and starts.tolist() == [0, 3]
+def test_trigrams_are_the_three_characters_around_each_letter():
+    def bucket(before, letter, after):
+        wide = (1 << 64) - 1
+        mixed = ord(before) * 0x9E3779B1 & wide
+        mixed ^= (ord(letter) * 0x85EBCA77 + 1) & wide
+        mixed ^= (ord(after) * 0xC2B2AE3D & wide) << 3 & wide
+        mixed = (mixed ^ mixed >> 29) * 0xBF58476D1CE4E5B9 & wide
+        return mixed >> 49
+
+    buckets, starts = language.trigrams(["äb", "c", "d\ne"])
+    assert starts.tolist() == [0, 3, 5]
+    expected = [("\n", "ä", "b"), ("ä", "b", "\n"), None, ("\n", "c", "\n"), None]
+    expected += [("\n", "d", "\n"), None, ("\n", "e", "\n")]
+    assert buckets.tolist() == [-1 if x is None else bucket(*x) for x in expected]
+
+
+def test_trigram_counts_are_exact(spark):
+    """Of every text and language, against counts one by one."""
+    texts = [("en", "ab ab, a1b é"), ("de", "ab"), ("en", "AB " * 50), ("de", None), (None, "ab")]
+    docs = spark.createDataFrame([(i, t, g) for i, (g, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    model, counts = language.fit(docs), {}
+    for lang, text in texts:
+        for word in (text or "").split() if lang else []:
+            buckets, _ = language.trigrams([language.letters_of(word)])
+            for b in buckets[buckets >= 0].tolist():
+                counts[b, lang] = counts.get((b, lang), 0) + 1
+    assert model.languages == ["de", "en"]
+    total = {g: sum(n for (_, x), n in counts.items() if x == g) for g in model.languages}
+    for (b, lang), n in counts.items():
+        at = model.languages.index(lang)
+        share = (n + language.SMOOTHING) / (total[lang] + language.SMOOTHING * language.BUCKETS)
+        assert model.table[b, at] == pytest.approx(np.log(share), abs=1e-5)
+
+
+def best_set(model, text):
+    """Language and proportion by the best of all sets of languages, one text at a time."""
+    logs = []
+    for word in text.split():
+        buckets, _ = language.trigrams([language.letters_of(word)])
+        logs.append(model.table[buckets[buckets >= 0]].astype(np.float64).sum(axis=0))
+    logs = np.array(logs)
+    penalty, found = 0.5 * np.log(len(logs) + 1.0), []
+    for bits in range(1, 1 << len(model.languages)):
+        inside = [i for i in range(len(model.languages)) if bits >> i & 1]
+        likely, share = np.exp(logs[:, inside] - logs.max(axis=1, keepdims=True)), None
+        share = np.full(len(inside), 1 / len(inside))
+        for _ in range(language.ROUNDS):
+            weight = likely * share
+            fit = np.log(weight.sum(axis=1)).sum()
+            share = (weight / weight.sum(axis=1, keepdims=True)).mean(axis=0)
+        found.append((fit - len(inside) * penalty, inside, share))
+    value, inside, share = max(found, key=lambda x: x[0])
+    return value, len(inside), model.languages[inside[int(share.argmax())]], share.max()
+
+
+def test_sets_of_languages_are_the_best_of_all():
+    """Mixtures of one to five languages, against all sets."""
+    random = np.random.default_rng(12)
+    names = ["aa", "bb", "cc", "dd", "ee"]
+    letters = ["abcdef", "efghij", "ijklmn", "mnopab", "cdghkl"]
+    words = [["".join(random.choice(list(x), random.integers(2, 7))) for _ in range(60)] for x in letters]
+    batch = pa.RecordBatch.from_pydict({"lang": names, "text": [" ".join(w * 3) for w in words]})
+    counts = np.zeros((language.BUCKETS, 5))
+    for found in language.count_trigrams(iter([batch])):
+        at = names.index(found.column("lang")[0].as_py())
+        counts[found.column("bucket").to_numpy(), at] = found.column("n").to_numpy()
+    model, texts = language.Mixture(names, counts), []
+    for parts in range(1, 6):
+        for _ in range(16):
+            chosen = random.choice(5, parts, replace=False)
+            often = random.integers(4, 60, parts)
+            some = [random.choice(words[i], n) for i, n in zip(chosen, often, strict=True)]
+            texts.append(" ".join(np.concatenate(some)))
+    got, sizes = model.infer(texts), set()
+    for name, score, text in zip(*got, texts, strict=True):
+        _, size, language_of, share = best_set(model, text)
+        sizes.add(size)
+        assert score == pytest.approx(share, abs=2e-3) and (name == language_of or share < 0.5)
+    assert sizes == {1, 2, 3, 4, 5}
+    even = " ".join(" ".join(w) for w in words[:4])
+    assert model.infer([even])[1][0] < 0.4  # four equal parts
 
 
 def test_languages_of_odd_rows(odd, nothing):

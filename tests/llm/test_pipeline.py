@@ -1,11 +1,14 @@
 """The stages one by one, each on its own input."""
 
+from pathlib import Path
+
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from fareloom.llm import decontaminate, language, quality, simhash
-from fareloom.llm.common import table, written
+from fareloom.llm import decontaminate, language, near, quality
+from fareloom.llm.common import shared_path, table, written
+from likeness import expected_ids
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -57,9 +60,33 @@ def test_quality_stage_keeps_good_documents(stages, spark, sf_dir):
 
 
 def test_near_duplicates_stage(stages):
+    """The stage's own input against the likeness of all pairs."""
     before, after = stages["near_dedup"]
-    groups = simhash.near_groups(before)
-    assert ids(after) == ids(groups.select(F.col("component_id").alias("doc_id")).distinct())
+    rows = [(r["doc_id"], r["text"]) for r in before.select("doc_id", "text").collect()]
+    rows.sort()
+    assert ids(after) == sorted(set(expected_ids(rows)))
+    assert len(rows) - after.count() > 50
+
+
+def test_stages_keep_all_without_anything_to_learn(stages, spark, sf_dir, tmp_path):
+    docs, _ = stages["language_id"]
+    unknown = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert ids(corpus_pipeline.language_id(spark, unknown, sf_dir)) == ids(docs)
+    labels = table(spark, sf_dir, "labels").withColumn("quality", F.lit(None).cast("int"))
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    assert ids(corpus_pipeline.quality_filter(spark, docs, str(tmp_path))) == ids(docs)
+
+
+def test_a_run_leaves_its_result_only(spark, small_dir, tmp_path):
+    before = set(folders(spark))
+    result = corpus_pipeline.run(spark, small_dir)
+    left = set(folders(spark)) - before
+    assert result.count() > 0 and len(left) == 1 and "pipeline-tokenize" in left.pop()
+
+
+def folders(spark):
+    root = Path(shared_path(spark, "x").removeprefix("file:")).parent
+    return [p.name for p in root.iterdir()] if root.exists() else []
 
 
 def test_benchmark_stage(stages, spark, sf_dir):
@@ -75,7 +102,7 @@ def test_stages_with_odd_rows(odd, nothing, spark, small_dir):
         assert stage(spark, odd, small_dir).count() <= odd.count()
     kept = corpus_pipeline.near_dedup(spark, odd, small_dir)
     assert kept.columns == odd.columns
-    groups = simhash.near_groups(odd).select("component").distinct()
+    groups = near.near_groups(odd).select("component").distinct()
     assert kept.count() == groups.count()  # one row of each group, also with odd ids
 
 
