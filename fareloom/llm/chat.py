@@ -12,9 +12,13 @@ backslashes) get one backslash more, until they are identical.
 
 Turns are rendered where they lie. Only the digests of a conversation need its
 turns in order; they are read from partitions sorted by conversation, one turn
-in memory at a time, however long a conversation is. Turns are ordered by turn
-(null last), role and text; equal rows are turns of their own. A null text or
-role is empty. A null conversation id is a conversation of its own.
+in memory at a time, however long a conversation is. What is learnt from is read
+by the loss mask, which has the place of an assistant's text in its turn and
+nothing of other turns. Turns are ordered by turn (null last), role and text;
+equal rows are turns of their own. A null text or role is empty; bytes that are no
+UTF-8 are read as the replacement character. A null conversation id is a
+conversation of its own. Extra columns are left out; an empty table gives an
+empty one.
 """
 
 from __future__ import annotations
@@ -27,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.llm.common import decoded
+
 MARKS = {
     "system": ("<<SYS>>", "<</SYS>>"),
     "user": ("[INST]", "[/INST]"),
@@ -118,26 +124,27 @@ def format_turn(role: str, text: str) -> tuple[str, int, int]:
 
 def _render(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows:
-        roles, texts = batch.column("role").to_pylist(), batch.column("text").to_pylist()
-        made = [format_turn(r or "", t or "") for r, t in zip(roles, texts, strict=True)]
+        roles, texts = decoded(batch.column("role")), decoded(batch.column("text"))
+        made = [format_turn(r, t) for r, t in zip(roles, texts, strict=True)]
+        masks = [x[1:] if r == LEARNT else (0, 0) for r, x in zip(roles, made, strict=True)]
         yield pa.RecordBatch.from_pydict(
             {
                 "conv_id": batch.column("conv_id"),
                 "turn": batch.column("turn"),
-                "role": batch.column("role"),
-                "source": batch.column("text"),
+                "role": pa.array(roles, pa.string()),
+                "source": pa.array(texts, pa.string()),
                 "formatted": pa.array([x[0] for x in made], pa.string()),
-                "text_start": pa.array([x[1] for x in made], pa.int32()),
-                "text_end": pa.array([x[2] for x in made], pa.int32()),
+                "loss_start": pa.array([x[0] for x in masks], pa.int32()),
+                "loss_end": pa.array([x[1] for x in masks], pa.int32()),
             }
         )
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
-    """Every turn as formatted text, and where its own text stands in it.
+    """Every turn as formatted text, and its loss mask.
 
-    A formatted conversation is these texts in the order of turns; its loss mask
-    covers the texts of assistant turns. Other columns are left out.
+    A formatted conversation is these texts in the order of turns. The mask is a
+    range of the turn's code points: an assistant's text, else nothing.
     """
     turns = conversations.selectExpr(
         "CAST(conv_id AS BIGINT) AS conv_id", "CAST(turn AS BIGINT) AS turn", "role", "text"
@@ -145,7 +152,7 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     return turns.mapInArrow(
         _render,
         "conv_id bigint, turn bigint, role string, source string, formatted string, "
-        "text_start int, text_end int",
+        "loss_start int, loss_end int",
     )
 
 
@@ -156,14 +163,14 @@ class _Reader:
         self.conv_id, self.turns, self.chars, self.loss_chars = conv_id, 0, 0, 0
         self.all, self.loss = sha256(), sha256()
 
-    def read(self, formatted: str) -> None:
+    def read(self, formatted: str, start: int, end: int) -> None:
         self.chars += len(formatted)
         for role, text, _, _ in parse(formatted):
             self.turns += 1
             self.all.update(f"{role}\n{text}\n".encode())
-            if role == LEARNT:
-                self.loss_chars += len(text)
-                self.loss.update(text.encode())
+        learnt = unescape(formatted[start:end])
+        self.loss_chars += len(learnt)
+        self.loss.update(learnt.encode())
 
     def row(self) -> tuple:
         digests = self.all.hexdigest(), self.loss.hexdigest()
@@ -191,12 +198,13 @@ def _read(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in rows:
         ids, texts = batch.column("conv_id").to_pylist(), batch.column("formatted")
-        for conv_id, text in zip(ids, texts, strict=True):
+        masks = zip(*(batch.column(f"loss_{x}").to_pylist() for x in ("start", "end")), strict=True)
+        for conv_id, text, mask in zip(ids, texts, masks, strict=True):
             if now is None or conv_id != now.conv_id:
                 if now is not None:
                     done.append(now.row())
                 now = _Reader(conv_id)
-            now.read(text.as_py())
+            now.read(text.as_py(), *mask)
         if len(done) >= 5000:
             yield flushed()
             done.clear()
@@ -216,7 +224,8 @@ def read_back(turns: DataFrame) -> DataFrame:
         "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, "
         "loss_sha256 string, formatted_chars bigint"
     )
-    return placed.select("conv_id", "formatted").mapInArrow(_read, types)
+    read = placed.select("conv_id", "formatted", "loss_start", "loss_end")
+    return read.mapInArrow(_read, types)
 
 
 def example(conversations: DataFrame) -> DataFrame:

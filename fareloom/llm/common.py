@@ -140,6 +140,20 @@ def batches(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[list[bytes]]:
         yield run
 
 
+def decoded(texts: pa.Array) -> list[str]:
+    """Texts, bytes that are no UTF-8 replaced; a null is an empty text."""
+    return [(value.as_py() or b"").decode("utf-8", "replace") for value in texts.cast(pa.binary())]
+
+
+def utf8(text: bytes) -> bytes:
+    """A text as valid UTF-8, bytes that are none replaced."""
+    try:
+        text.decode()
+    except UnicodeDecodeError:
+        return text.decode("utf-8", "replace").encode()
+    return text
+
+
 def struct_array(columns: dict[str, Sequence], types: dict[str, pa.DataType]) -> pa.Array:
     arrays = [pa.array(columns[name], kind) for name, kind in types.items()]
     return pa.StructArray.from_arrays(arrays, names=list(types))

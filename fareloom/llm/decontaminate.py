@@ -12,10 +12,12 @@ words, for the documents found alone.
 
 Words are runs of letters and digits in lower case. An item of fewer than five
 words is one shingle, and is looked for as that. An item without words, and a
-null text, contain nothing and are contained in nothing. Documents are told
-apart by id and text; rows that repeat both give one row. A document without an
-id is searched too and has a null id in the result. All of it is DataFrame
-expressions.
+null text, contain nothing and are contained in nothing. Documents and items are
+told apart by id and text; rows that repeat both give one row, and texts that
+share an id are each looked for. An item or document without an id is one too,
+and has a null id in the result. Texts of any length are read whole; without
+documents or items there are no rows; extra columns are left out, whatever their
+names. All of it is DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -62,13 +64,14 @@ def shingles(found: str, size: int = WORDS) -> Column:
 
 
 def _items(benchmark: DataFrame, size: int) -> DataFrame:
-    """Items with their shingle length, shingles and hashes."""
-    own = benchmark.select("item_id", "text")
+    """Items, each once, with a key, their shingle length, shingles and hashes."""
+    own = benchmark.select("item_id", "text").distinct()
+    own = own.withColumn("item_key", F.xxhash64(F.col("item_id").isNull(), "item_id", "text"))
     own = read_once(own, "w", words(F.col("text"))).where("size(w) > 0")
     width = F.least(F.size("w"), F.lit(size))
     by_width = [
         own.where(width == n).select(
-            "item_id", F.lit(n).alias("width"), shingles("w", n).alias("item_shingles"),
+            "item_id", "item_key", F.lit(n).alias("width"), shingles("w", n).alias("item_shingles"),
             F.array_distinct(hashes("w", n)).alias("h"),
         )
         for n in range(1, size + 1)
@@ -84,7 +87,7 @@ def _sketches(items: DataFrame, share: float) -> DataFrame:
     missing = F.floor((F.lit(1) - F.lit(share)) * (F.pow(F.lit(2.0), F.col("size_class") + 1) - 1) + 1e-9)
     classed = items.withColumn("size_class", F.floor(F.log2(F.col("q").cast("double")) + 1e-9))
     kept = F.slice(F.array_sort("h"), F.lit(1), (missing + 1).cast("int"))
-    return classed.select("item_id", "width", "q", F.explode(kept).alias("h"))
+    return classed.select("item_key", "width", "q", F.explode(kept).alias("h"))
 
 
 def contained_items(
@@ -111,13 +114,13 @@ def contained_items(
             F.greatest(F.size("w") - (width - 1), F.lit(0)).alias("places"),
             F.explode(_upto(hashes("w", width), most)).alias("h"),
         )
-        own = sketches.where(F.col("width") == width).select("item_id", "q", "h")
+        own = sketches.where(F.col("width") == width).select("item_key", "q", "h")
         hits = looked_up.join(own, "h").where(F.col("places") >= F.ceil(F.col("q") * share - 1e-9))
-        hits = hits.select("doc_id", "text_hash", "item_id").distinct()
+        hits = hits.select("doc_id", "text_hash", "item_key").distinct()
         found = hits if found is None else found.unionByName(hits)
     if found is None:
-        none = F.lit(None).cast(benchmark.schema["item_id"].dataType)
-        found = keyed.select("doc_id", "text_hash", none.alias("item_id")).where(F.lit(False))
+        none = F.lit(None).cast("bigint")
+        found = keyed.select("doc_id", "text_hash", none.alias("item_key")).where(F.lit(False))
     # Written, so that its size is known before the documents' texts are moved: few
     # pairs go to the texts, and only many make it a join of two shuffled sides.
     found = written(found, "found-pairs")
@@ -132,8 +135,8 @@ def _verified(found, keyed, items, share, widths) -> DataFrame:
     pairs = (
         found.alias("f")
         .join(keyed.alias("k"), same)
-        .select("f.doc_id", "f.text_hash", "f.item_id", "k.text")
-        .join(items.select("item_id", "width", "q", "item_shingles"), "item_id")
+        .select("f.doc_id", "f.text_hash", "f.item_key", "k.text")
+        .join(items.select("item_id", "item_key", "width", "q", "item_shingles"), "item_key")
     )
     pairs = read_once(pairs, "w", words(F.col("text")))
     own = F.lit(None).cast("array<string>")
@@ -143,10 +146,11 @@ def _verified(found, keyed, items, share, widths) -> DataFrame:
         "doc_id",
         "text_hash",
         "item_id",
+        "item_key",
         F.col("q").cast("bigint").alias("n_item"),
         F.size(F.array_intersect("item_shingles", own)).cast("bigint").alias("n_found"),
     )
     containment = F.col("n_found") / F.col("n_item")
-    return counted.withColumn("containment", containment).where(
-        F.col("n_found") >= F.col("n_item") * share - 1e-9
-    ).distinct()
+    enough = F.col("n_found") >= F.col("n_item") * share - 1e-9
+    found = counted.withColumn("containment", containment).where(enough)
+    return found.dropDuplicates(["doc_id", "text_hash", "item_key"]).drop("item_key")

@@ -19,7 +19,8 @@ fingerprint of an empty text is that of no character at every place, and two
 empty texts are alike (1). Equal texts have equal fingerprints. The next
 document is that of the next smaller id (after the smallest, that of the
 largest). Rows with equal ids follow each other by the hash of their text; rows
-without an id come last.
+without an id come last, and repeated rows are rows each. An empty table gives an
+empty one; extra columns are left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from hashlib import sha256
 from itertools import accumulate
+from math import floor
 from operator import getitem, itemgetter
 
 import numpy as np
@@ -178,30 +180,49 @@ def _words(print_: Column) -> Column:
     return F.array(*(part.cast("bigint") for part in parts))
 
 
+def _rare_bands(classes: DataFrame, like: float) -> DataFrame:
+    """Bands (`fp`, `band`) by which classes that are alike meet.
+
+    Two fingerprints that differ in at most so many bytes share all bands but as
+    many. So with all bands in one order, the rarest first, they share one among
+    the first of either; what very many have in common is left out of those.
+    """
+    bands = F.transform(
+        F.sequence(F.lit(0), F.lit(BANDS - 1)),
+        lambda i: F.xxhash64(i, F.substring("fp", i * BAND_BYTES + 1, BAND_BYTES)),
+    )
+    entries = written(classes.select("fp", F.explode(bands).alias("band")), "edit-bands")
+    often = entries.groupBy("band").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    times = F.coalesce("times", F.lit(1)).alias("times")
+    ranked = entries.join(often, "band", "left").groupBy("fp")
+    ranked = ranked.agg(F.sort_array(F.collect_list(F.struct(times, "band"))).alias("order"))
+    shared = BANDS - floor(LENGTH * (1 - like) + 1e-9)
+    first = F.slice("order", 1, BANDS - max(shared, 1) + 1)
+    met = F.filter(first, lambda x: x["times"] > 1)
+    return ranked.select("fp", F.explode(met).alias("at")).select("fp", "at.band")
+
+
 def near_pairs(docs: DataFrame, like: float = LIKE) -> DataFrame:
-    """Links between classes of documents with one fingerprint, each named by its
-    smallest id: `u`, `v` and their likeness.
+    """Links between classes of documents with one fingerprint: the fingerprints `u` <
+    `v`, the smallest id of either (`u_id`, `v_id`; null if all are) and their likeness.
 
     Two fingerprints are compared if one of 32 bands of four sampled bytes is
-    equal in both; at a likeness of 0.8 all bands differ in one of ten million
-    pairs. Likeness is part of the join's condition, so only links leave it.
+    equal in both, of the rarest that two alike ones have to share (26 at 0.8):
+    no pair is missed down to a likeness of 0.76. Likeness is part of the join's
+    condition, so only links leave it.
     """
     prints = docs.select("doc_id", fingerprint(F.col("text")).alias("fp"))
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "edit-classes")
-    bands = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda i: F.concat(
-            i.cast("string"), F.lit(":"), F.hex(F.substring("fp", i * BAND_BYTES + 1, BAND_BYTES))
-        ),
-    )
-    banded = classes.select("id", _words(F.col("fp")).alias("words"), F.explode(bands).alias("band"))
+    banded = _rare_bands(classes, like).join(classes, "fp")
+    banded = written(banded.withColumn("words", _words(F.col("fp"))), "edit-banded")
     a, b = banded.alias("a"), banded.alias("b")
     equal = _equal_bytes(F.col("a.words"), F.col("b.words"))
-    near = (F.col("a.band") == F.col("b.band")) & (F.col("a.id") < F.col("b.id"))
+    near = (F.col("a.band") == F.col("b.band")) & (F.col("a.fp") < F.col("b.fp"))
     pairs = a.join(b, near & (equal >= like * LENGTH))
     return pairs.select(
-        F.col("a.id").alias("u"), F.col("b.id").alias("v"), (equal / LENGTH).alias("likeness")
-    ).distinct()
+        F.lower(F.hex("a.fp")).alias("u"), F.lower(F.hex("b.fp")).alias("v"),
+        F.col("a.id").alias("u_id"), F.col("b.id").alias("v_id"), (equal / LENGTH).alias("likeness"),
+    ).distinct()
 
 
 class Read:

@@ -18,8 +18,11 @@ three rounds over disjoint parts of the training rows, each row used once:
 every task takes gradient steps over its rows, and the tasks' weights are
 averaged, row by row of the weight table, by how often each met that row.
 
-A null text is empty and has its end only. Rows with a null id are scored, and
-never learnt from. Repeated rows are scored each.
+A null text is empty and has its end only; bytes that are no UTF-8 are read as
+the replacement character. Rows with a null id are scored, and never learnt from.
+Repeated rows are scored each. Words of equal count are common in their own order.
+Texts of any length are read whole. Without a row to learn from, all words are
+unknown; an empty table gives an empty one. Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.common import batches, held_out, struct_array, written
+from fareloom.llm.common import batches, held_out, struct_array, utf8, written
 
 END = "\n"  # no word holds a line break
 WIDTH = 32  # classes, and members of a class
@@ -215,7 +218,7 @@ class Trainer:
 
 def _numbered(lexicon: Lexicon, texts: list[bytes]):
     """Words of each text, and all numbers with the place where each text starts."""
-    split = [text.lower().split() for text in texts]
+    split = [utf8(text).lower().split() for text in texts]
     numbers = [lexicon.numbers(words) for words in split]
     starts = np.cumsum([0, *map(len, numbers)])[:-1]
     return split, np.concatenate(numbers), starts
@@ -233,7 +236,7 @@ def _count_words(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in rows:
         for run in batches(batch.column("text")):
             for text in run:
-                counted.update(text.lower().split())
+                counted.update(utf8(text).lower().split())
             counted[END.encode()] += len(run)
             if len(counted) > FLUSH_WORDS:
                 yield flushed()

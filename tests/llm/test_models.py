@@ -252,3 +252,68 @@ def test_training_lowers_the_error():
     for _ in range(20):
         trainer.learn(numbers, starts)
     assert lm.log_probabilities(lexicon, trainer.weights, numbers, starts).sum() > before / 2
+
+
+def test_bytes_that_are_no_text(spark):
+    frame = spark.sql(
+        "SELECT id AS doc_id, CAST(X'61FF6220C3' AS STRING) AS text FROM range(20) "
+        "UNION ALL SELECT 99, 'a\ufffdb \ufffd'"
+    )
+    rows = {r["doc_id"]: r for r in lm.score_documents(frame).collect()}
+    assert len(rows) == 21
+    assert {(r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in rows.values()} == {
+        (3, 3, rows[99]["base_score"], rows[99]["score"])
+    }
+
+
+def plain_mix(x, kind):
+    """The bucket of a feature, in whole numbers."""
+    wide = (1 << 32) - 1
+    x = (x + (kind * 0x9E3779B1 & wide)) * 0x85EBCA6B & wide
+    x ^= x >> 13
+    x = x * 0xC2B2AE35 & wide
+    x ^= x >> 16
+    return x & (lm.BUCKETS - 1)
+
+
+def plain_score(model, counts, text):
+    """log10 of a text's probability, token by token, from the model's own tables."""
+    lexicon, total, history = model.lexicon, 0.0, []
+    start = lm.ATOMS + lm.WIDTH
+    known = {word: i for i, word in enumerate(lexicon.common)}
+    largest = {}
+    for word, n in zip(lexicon.common, lexicon.counts.tolist(), strict=True):
+        largest[lm.ending(word)] = largest.get(lm.ending(word), 0) + n
+    endings = sorted(largest, key=lambda e: (-largest[e], e))[: lm.WIDTH - 1]
+    members = {}
+    for i, word in enumerate(lexicon.common):
+        group = endings.index(lm.ending(word)) if lm.ending(word) in endings else lm.WIDTH - 1
+        own = members.setdefault(group, {})
+        if len(own) < lm.WIDTH - 1:
+            own[word] = len(own)
+    for word in [*text.encode().lower().split(), lm.END.encode()]:
+        group = endings.index(lm.ending(word)) if lm.ending(word) in endings else lm.WIDTH - 1
+        member = members.get(group, {}).get(word, lm.WIDTH - 1)
+        last, before = ([start, start] + history)[-1], ([start, start] + history)[-2]
+        rows = [plain_mix(last, 1), plain_mix(before, 2), plain_mix((last * 4096 + before) & 0xFFFFFFFF, 3)]
+        logits = lexicon.shares[lm.WIDTH] + sum(model.weights[r] for r in rows)
+        inside = model.weights[lm.BUCKETS + plain_mix(last * 64 + group, 4)] + lexicon.shares[group]
+        for values, at in ((logits.astype(float), group), (inside.astype(float), member)):
+            total += (values[at] - np.log(np.exp(values).sum())) / np.log(10)
+        if member == lm.WIDTH - 1:
+            total += log10(counts.get(word.decode(), 0) + 1) - model.rest[group]
+        at = known.get(word)
+        history.append(at if at is not None and at < min(len(known), lm.ATOMS) else lm.ATOMS + group)
+    return total
+
+
+def test_scores_are_the_model_token_by_token(spark, small_dir, rows_of):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text")
+    counts = lm.word_counts(docs)
+    model = lm.fit(docs, counts)
+    assert np.abs(model.weights).max() > 0.1
+    table = {r["word"]: r["n"] for r in counts.collect()}
+    got = {r["doc_id"]: r["score"] for r in lm.scores(docs, model, counts).collect()}
+    rows = sorted(rows_of(f"{small_dir}/documents.parquet", "doc_id, text"))[::9]
+    for doc_id, text in rows:
+        assert got[doc_id] == pytest.approx(plain_score(model, table, text or ""), rel=1e-4, abs=1e-3)

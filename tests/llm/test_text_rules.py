@@ -84,6 +84,24 @@ def test_chat_of_odd_rows(spark):
     assert chat.read_back(chat.format_conversations(frame.where(F.lit(False)))).collect() == []
 
 
+def test_the_loss_mask_covers_assistant_texts(spark):
+    rows = [(1, 0, "user", "[OUT] a </s>"), (1, 1, "assistant", "b [\\/INST] </s> é"), (1, 2, "assistant", "")]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    made = sorted(tuple(r) for r in chat.format_conversations(frame).drop("conv_id").collect())
+    under = [chat.unescape(f[start:end]) for _, _, _, f, start, end in made]
+    assert under == ["", rows[1][3], ""]
+    moved = chat.format_conversations(frame).withColumn("loss_end", F.col("loss_end") - 1)
+    digest = sha256(chat.unescape(made[1][3][made[1][4] : made[1][5] - 1]).encode()).hexdigest()
+    assert chat.read_back(moved.where("turn < 2")).first()["loss_sha256"] == digest
+
+
+def test_bytes_that_are_no_text(spark):
+    text = "CAST(X'61FF62' AS STRING)"
+    frame = spark.sql(f"SELECT 1L AS conv_id, 0L AS turn, 'assistant' AS role, {text} AS text")
+    row = chat.read_back(chat.format_conversations(frame)).first()
+    assert row["loss_sha256"] == sha256("a\ufffdb".encode()).hexdigest()
+
+
 def test_conversation_of_many_turns(spark):
     n = 20_000
     frame = spark.range(n).selectExpr(
