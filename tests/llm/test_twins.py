@@ -44,8 +44,8 @@ def database(**tables):
         fields = ", ".join(f"{c} {k}" for c, k in zip(columns, kinds, strict=True))
         db.execute(f"CREATE TABLE {name} ({fields})")
         arrays = [pa.array(c, pa.int64() if k == "BIGINT" else pa.string()) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        some = pa.table(arrays, names=list(columns))  # noqa: F841
-        db.execute(f"INSERT INTO {name} SELECT * FROM some")
+        given = pa.table(arrays, names=list(columns))  # noqa: F841
+        db.execute(f"INSERT INTO {name} SELECT * FROM given")
     return db
 
 
