@@ -181,7 +181,9 @@ def test_near_pairs_are_those_of_all_comparisons(spark):
         texts += [text, text, text[:500] + "x" + text[500:], text[: 100 * (i % 6)]]
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, "no id"), (900, None), (901, "")]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
-    rows += [(None, texts[-2][:-30] + " and more"), (None, "zz yy xx " * 60), (None, "zz yy xx " * 60 + "!")]
+    without = " ".join(rng.choice("qr st uv wx yz".split()) for _ in range(300))
+    rows += [(None, without)] * 2
+    rows += [(None, without[:at] + "y" + without[at:]) for at in range(100, 900, 50)]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("fp", F.lit("clash"))
     got = {
         (r["u"], r["v"]): (r["u_id"], r["v_id"], r["likeness"])

@@ -261,9 +261,11 @@ def test_bytes_that_are_no_text(spark):
     )
     rows = {r["doc_id"]: r for r in lm.score_documents(frame).collect()}
     assert len(rows) == 21
-    assert {(r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in rows.values()} == {
-        (3, 3, rows[99]["base_score"], rows[99]["score"])
-    }
+    for row in rows.values():
+        assert (row["n_tokens"], row["n_known"]) == (3, 3)
+        assert (row["base_score"], row["score"]) == pytest.approx(
+            (rows[99]["base_score"], rows[99]["score"]), abs=1e-4
+        )
 
 
 def plain_mix(x, kind):
