@@ -15,7 +15,14 @@ def plan(frame):
 
 @pytest.fixture(scope="module")
 def raw(spark, sf_dir):
-    return registry.ingested(spark, sf_dir).raw
+    entries = landing.landing_entries(spark, registry.plain_folder(spark, sf_dir))
+    return landing.ingest(spark, entries).raw
+
+
+def test_drifting_files_are_one_more_scan_per_fleet(spark, sf_dir):
+    text = plan(Layers().bronze(unify_mixed(registry.ingested(spark, sf_dir).raw)))
+    assert text.count("FileScan") == 4
+    assert text.count("GreaterThanOrEqual(total_amount,0.0)") == 3  # text cannot be compared
 
 
 def test_bronze_rules_reach_the_file_scan(raw):

@@ -10,7 +10,7 @@ from fareloom.streaming.arrivals import append_silver, arriving_trips, keep_gold
 
 @pytest.fixture
 def folders(spark, sf_dir):
-    base = registry.landing_folder(spark, sf_dir)
+    base = registry.plain_folder(spark, sf_dir)
     frames = registry.fleet_frames(spark, sf_dir)
     return {name: (f"{base}/{name}", frames[name].schema) for name in FLEETS}
 
