@@ -1,6 +1,7 @@
 """The convolutional classifier: held-out labels, exact responses and gradients, odd rows."""
 
 import zlib
+from functools import reduce
 
 import numpy as np
 import pytest
@@ -146,6 +147,84 @@ def test_labels_of_held_out_documents(spark, rows_of):
     assert len(toxic) > 50 and np.mean(clean) < 0.03 and np.mean(toxic) > 0.85
 
 
+@pytest.fixture(scope="module")
+def many(spark):
+    """More labelled rows than one task trains on, each of a word that no other has."""
+    docs = spark.range(14_000).selectExpr(
+        "id AS doc_id", "concat('w', sha1(string(id))) AS text", "IF(id % 3 = 0, 'de', 'en') AS lang"
+    )
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) AS toxic")
+    return docs, labels, toxicity.train(docs, labels)
+
+
+def known_rows(docs, labels, *where):
+    rows = docs.join(labels, "doc_id").where("crc32(binary(string(doc_id))) % 5 != 0")
+    for condition in where:
+        rows = rows.where(condition)
+    return rows.select("text", "lang", "toxic").collect()
+
+
+def bucket_of(word):
+    return toxicity._buckets([word])[0][0]  # of the word as a whole
+
+
+def test_all_labelled_rows_are_learnt_from(many):
+    docs, labels, scorer = many
+    rows = known_rows(docs, labels, ~toxicity.judged())
+    assert len(rows) > toxicity.ROWS_PER_TASK
+    first = toxicity.Weights(np.random.default_rng(13)).vectors
+    moved = (scorer.vectors != first).any(axis=1)
+    assert all(moved[bucket_of(row["text"])] for row in rows)
+
+
+def test_languages_are_counted_in_all_labelled_rows(many):
+    docs, labels, scorer = many
+    least = scorer.likelihood.min(axis=0)
+    for row in known_rows(docs, labels):
+        i = scorer.names.index(row["lang"])
+        assert scorer.likelihood[bucket_of(row["text"]), i] > least[i]
+
+
+def test_thresholds_are_those_of_all_judged_rows(many):
+    docs, labels, scorer = many
+    rows = known_rows(docs, labels, toxicity.judged())
+    assert len(rows) > 2000
+    raw = np.array([raw for raw, _ in scorer.raws([row["text"].encode() for row in rows])])
+    toxic, lang = np.array([row["toxic"] for row in rows]), np.array([row["lang"] for row in rows])
+    for name, cut in zip([*scorer.names, None], scorer.cuts, strict=True):
+        own = np.full(len(rows), True) if name is None else lang == name
+        assert cut == pytest.approx(toxicity.threshold(raw[own], toxic[own], np.ones(own.sum())), abs=1e-4)
+
+
+def test_thresholds_do_not_depend_on_how_scores_are_cut(spark):
+    dice = np.random.default_rng(8)
+    for n in (1, 2, 7, 60):
+        raw, toxic = dice.integers(0, 12, n) * 0.5, dice.integers(0, 2, n)
+        langs = [["de", "en", None][x] for x in dice.integers(0, 3, n)]
+        rows = list(zip(langs, toxic.tolist(), raw.tolist(), strict=True))
+        frame = spark.createDataFrame(rows, "lang string, label int, raw double")
+        got = toxicity.thresholds(frame, ["de", "en"])
+        for i, name in ((-1, None), (0, "de"), (1, "en")):
+            own = np.array([name in (None, lang) for lang in langs])
+            if own.any():
+                assert got[i] == toxicity.threshold(raw[own], toxic[own], np.ones(own.sum()))
+        pieces = [toxicity._piece(np.array([x]), np.array([1.0 - 2 * (x % 2)])) for x in range(9)]
+        whole = toxicity._piece(np.arange(9.0), 1.0 - 2 * (np.arange(9) % 2))
+        assert toxicity._cut(reduce(toxicity._joined, pieces)) == toxicity._cut(whole)
+
+
+def test_long_texts_learn_as_in_one_block(monkeypatch):
+    texts = [np.random.default_rng(3).integers(0, 30, 200), np.array([4, 2])]
+    bucket, starts = toxicity._buckets([f"word{i}" for i in range(30)])
+    found = []
+    for block in (1 << 14, 7, 1):
+        monkeypatch.setattr(toxicity, "_BLOCK", block)
+        model, _ = random_scorer()
+        model.learn(texts, np.array([1, 0]), bucket, starts)
+        found.append(model)
+    assert all(np.array_equal(m.vectors, found[0].vectors) for m in found)
+
+
 def test_odd_rows(odd, nothing, spark, small_dir):
     labels = table(spark, small_dir, "labels")
     docs = table(spark, small_dir, "documents")
