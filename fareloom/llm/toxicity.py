@@ -255,7 +255,7 @@ def thresholds(scored: DataFrame, names: list[str]) -> dict[int, float]:
     own = F.lit(-1)
     if names:
         listed = F.create_map(*[F.lit(x) for pair in number.items() for x in pair])
-        own = F.coalesce(F.try_element_at(listed, F.coalesce("lang", F.lit(""))), F.lit(-1))
+        own = F.coalesce(F.try_element_at(listed, F.col("lang")), F.lit(-1))
     of = F.explode(F.array_distinct(F.array(own, F.lit(-1)))).alias("of")
     step = F.when(F.col("label") == 1, 1.0).otherwise(-1.0)
     counted = scored.select(of, "raw", step.alias("step")).groupBy("of", "raw").agg(F.sum("step").alias("step"))

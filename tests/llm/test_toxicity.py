@@ -213,6 +213,12 @@ def test_thresholds_do_not_depend_on_how_scores_are_cut(spark):
         assert toxicity._cut(reduce(toxicity._joined, pieces)) == toxicity._cut(whole)
 
 
+def test_a_null_language_is_not_the_empty_one(spark):
+    rows = [("", 0, 0.0), ("", 1, 2.0), (None, 0, 8.0), (None, 1, 9.0), (None, 0, 1.8)]
+    got = toxicity.thresholds(spark.createDataFrame(rows, "lang string, label int, raw double"), [""])
+    assert got[0] == 1.0
+
+
 def test_long_texts_learn_as_in_one_block(monkeypatch):
     texts = [np.random.default_rng(3).integers(0, 30, 200), np.array([4, 2])]
     bucket, starts = toxicity._buckets([f"word{i}" for i in range(30)])
