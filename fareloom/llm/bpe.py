@@ -8,9 +8,9 @@ paths to the root are computed anew: logarithmic work, until the root holds no
 pair. Short words go through their trees side by side in arrays, one merge in
 every word a round; a long one has a tree of its own.
 
-Words are encoded once per task while they are remembered; a text is the sequence of its
-words' tokens, as white space is dropped before. Null texts are empty, and an
-empty text has no tokens.
+Pieces of words are encoded once per task while they are remembered; a text is the
+sequence of its words' tokens, as white space is dropped before. Null texts are empty,
+and an empty text has no tokens.
 """
 
 from __future__ import annotations
@@ -19,26 +19,45 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer
 from tokenizers.pre_tokenizers import Split
 
-from fareloom.llm.common import batches, struct_array, vocabulary_path
+from fareloom.llm.common import batches, struct_array, utf8, vocabulary_path
 
 TOKENIZER = "word_bpe_49k.json"
 TEXT_BYTES = 2 << 20
-CACHED_WORDS = 80_000  # of a task; forgotten together when there are more
+CACHED_WORDS = 200_000  # pieces of words that a task keeps
+CACHED_OTHERS = 40_000  # words that a task keeps with the pieces they were split into
 WIDEST = 64  # symbols of a word that is encoded side by side with others
+SIDE_BY_SIDE = 4096  # words whose trees are in memory at once
 NO_PAIR = np.iinfo(np.int64).max
-SPACE = r"\t-\r \x85\xa0  -     　"
-_WORDS = regex.compile(f"[^{SPACE}]+")
 _SETTLED = "\u0250"  # the first character behind the Latin letters
-_ODD_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() takes these for white space
+_SPACES = b"\t\n\v\f\r "
+_WIDE_SPACES = [
+    chr(c).encode()
+    for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+]
+_IN_WORD = ~np.isin(np.arange(256), list(_SPACES))  # by byte
+_SPECIAL = 0xFF  # a byte that no UTF-8 has
+_APOSTROPHE = ord("'")
+_LETTER, _NUMBER, _SIGN = range(3)
+_LATIN = [chr(c) for c in range(ord(_SETTLED))]
+_KIND = np.array(
+    [{"L": _LETTER, "N": _NUMBER}.get(category(c)[0], _SIGN) for c in _LATIN], np.uint8
+)
+_LOWER = np.array([ord(c.lower()[0]) for c in _LATIN], np.uint16)
+# Characters whose lower case is not one character of as many bytes.
+_CHANGES = np.array(
+    [len(c.lower()) > 1 or len(c.lower().encode()) != len(c.encode()) for c in _LATIN]
+)
 
 
 def byte_letters() -> list[str]:
@@ -59,13 +78,17 @@ class Vocabulary:
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
         suffix = model["end_of_word_suffix"]
-        self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.tokens = {i: token for token, i in (self.ids | self.special).items()}
+        special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        self.special = {token.encode(): i for token, i in special.items()}
+        tokens = {i: token for token, i in (self.ids | special).items()}
+        self.written = pa.array(
+            [f"{tokens.get(i, '')} ".encode() for i in range(max(tokens) + 1)], pa.binary()
+        )
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(pattern)
         self.split = Split(Regex(pattern), "removed", invert=True).pre_tokenize_str
         self.normalize = Tokenizer.from_file(path).normalizer.normalize_str
-        self.splitter = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
+        self.splitter = regex.compile(b"|".join(map(regex.escape, self.special)))
         letters = byte_letters()
         self.inner = np.array([self.ids[x] for x in letters], np.int64)
         self.final = np.array([self.ids[x + suffix] for x in letters], np.int64)
@@ -162,113 +185,228 @@ def encode_side_by_side(symbols: np.ndarray, vocabulary: Vocabulary) -> np.ndarr
     return symbols[:, :width]
 
 
+def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of ranges, one range after the other."""
+    ends = np.cumsum(lengths)
+    places = np.arange(ends[-1] if len(ends) else 0)
+    places += np.repeat(starts - ends + lengths, lengths)
+    return places
+
+
+def strings(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Byte strings that lie one after the other."""
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers)
+
+
+def parts(found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all strings and where each begins and the last one ends."""
+    if not len(found):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = found.buffers()
+    at = np.frombuffer(offsets, np.int32)[found.offset : found.offset + len(found) + 1]
+    at = at.astype(np.int64)
+    return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
+
+
+class Tokens:
+    """Ids of texts, one text after the other, and the bytes that they decode to."""
+
+    def __init__(self, ids: np.ndarray, bounds: np.ndarray, vocabulary: Vocabulary):
+        self.ids, self.bounds = ids, bounds
+        data, offsets = parts(vocabulary.written.take(pa.array(ids)))
+        self._data, self._from = memoryview(data), offsets[bounds].tolist()
+        self._ids, self._bounds = memoryview(ids).cast("B"), bounds.tolist()
+
+    def __iter__(self) -> Iterator[tuple[memoryview, memoryview]]:
+        """Per text: ids (little-endian, 32 bits each) and decoded text in UTF-8."""
+        for i in range(len(self._bounds) - 1):
+            ids = self._ids[4 * self._bounds[i] : 4 * self._bounds[i + 1]]
+            end = self._from[i + 1] - (1 if len(ids) else 0)  # no space behind the last token
+            yield ids, self._data[self._from[i] : end]
+
+
 class Encoder:
-    """Token ids and texts of words, kept for words that come again.
+    """Token ids and texts; pieces of words are kept as they come again.
 
-    Words are kept in two generations: when the younger one is full it becomes
-    the older one, and the older is forgotten but for words met again since.
+    Texts are taken as one row of bytes: words and their pieces are told apart in
+    arrays, and what is different is looked up or encoded. When too many pieces are
+    kept, those not met in the texts at hand are forgotten.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.ids: dict[str, bytes] = {}
-        self.texts: dict[str, str] = {}
-        self.older: tuple[dict[str, bytes], dict[str, str]] = ({}, {})
-
-    def _encode_pieces(self, pieces: list[str]) -> dict[str, tuple[bytes, str]]:
-        vocabulary, by_width, found = self.vocabulary, {}, {}
-        tokens = vocabulary.tokens
-        for piece in pieces:
-            data = piece.encode()
-            width = 1 << max(1, (len(data) - 1).bit_length())
-            by_width.setdefault(width, []).append((piece, data))
-        for width, group in by_width.items():
-            if width > WIDEST:
-                for piece, data in group:
-                    values = np.frombuffer(data, np.uint8)
-                    symbols = vocabulary.inner[values]
-                    symbols[-1] = vocabulary.final[values[-1]]
-                    ids = encode_long(symbols.tolist(), vocabulary)
-                    text = " ".join([tokens[i] for i in ids])
-                    found[piece] = (np.array(ids, "<u4").tobytes(), text)
-                continue
-            lengths = np.array([len(data) for _, data in group])
-            filled = np.frombuffer(
-                b"".join([data.ljust(width, b"\0") for _, data in group]), np.uint8
-            ).reshape(len(group), width)
-            symbols = vocabulary.inner[filled]
-            last = (np.arange(len(group)), lengths - 1)
-            symbols[last] = vocabulary.final[filled[last]]
-            symbols[np.arange(width) >= lengths[:, None]] = -1
-            ids = encode_side_by_side(symbols, vocabulary)
-            kept = ids >= 0
-            ends = np.cumsum(kept.sum(axis=1)).tolist()
-            flat = ids[kept]
-            texts, data, start = [tokens[i] for i in flat.tolist()], flat.astype("<u4").tobytes(), 0
-            for (piece, _), end in zip(group, ends, strict=True):
-                found[piece] = (data[4 * start : 4 * end], " ".join(texts[start:end]))
-                start = end
-        return found
-
-    def _split(self, word: str) -> list[str]:
-        """The pieces of a word, by the vocabulary's pattern; letters need none.
+        self.known = pa.array([], pa.binary())
+        self.ids = np.zeros(0, np.int32)
+        self.starts = self.lengths = np.zeros(0, np.int64)
+        self.others: dict[bytes, list[bytes]] = {}
+
+    def _words(self, texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        """Words of all texts, and the number of words before each text and in all.
+
+        A special token becomes a word: its id behind a byte that UTF-8 does not have.
+        """
+        special = self.vocabulary.special
+        for i, text in enumerate(texts):
+            if any(token in text for token in special):
+                texts[i] = self.vocabulary.splitter.sub(
+                    lambda found: b" \xff%d " % special[found[0]], text
+                )
+        data = b"\n".join(texts) + b"\n"
+        if not data.isascii():
+            for space in _WIDE_SPACES:
+                data = data.replace(space, b" " * len(space))
+        values = np.frombuffer(data, np.uint8)
+        filled = _IN_WORD[values]
+        change = np.flatnonzero(filled[1:] != filled[:-1]) + 1  # a space ends the data
+        if filled[0]:
+            change = np.concatenate([[0], change])
+        starts, ends = change[::2], change[1::2]
+        sizes = np.array([len(text) + 1 for text in texts])
+        first = np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)]))
+        return strings(values[filled], np.concatenate([[0], np.cumsum(ends - starts)])), first
+
+    def _other_pieces(self, word: bytes) -> list[bytes]:
+        """Pieces of a word with an apostrophe or with characters that are not settled."""
+        if word[0] == _SPECIAL:
+            return [word]
+        text = word.decode()
+        if text.isascii() or max(text) < _SETTLED:
+            return [piece.encode() for piece in self.vocabulary.pattern.findall(text.lower())]
+        text = self.vocabulary.normalize(text)
+        return [piece.encode() for piece, _ in self.vocabulary.split(text)]
+
+    def _pieces(self, words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Pieces of words by the vocabulary's pattern: where a word's begin, and how many.
 
         What a letter is and its lower case depend on the version of Unicode. They
         are settled for Latin letters, which are in normal form too; words with
-        other characters are normalised and split by the library's parts.
+        other characters are normalised and split by the library's parts. So are
+        words with apostrophes by the pattern itself, for its short forms.
         """
-        plain = word.isascii() or max(word) < _SETTLED
-        word = word.lower() if plain else self.vocabulary.normalize(word)
-        if word.isalpha():
-            return [word]
-        if word[-1] in ",." and word[:-1].isalpha():
-            return [word[:-1], word[-1]]
-        if plain:
-            return self.vocabulary.pattern.findall(word)
-        return [piece for piece, _ in self.vocabulary.split(word)]
-
-    def learn(self, words: set[str]) -> None:
-        """Encode words that are not known yet."""
-        if len(self.ids) > CACHED_WORDS:
-            self.older, self.ids, self.texts = (self.ids, self.texts), {}, {}
-        known, texts = self.ids, self.texts
-        old_ids, old_texts = self.older
-        again = words & old_ids.keys() if old_ids else ()
-        for word in again:
-            known[word], texts[word] = old_ids[word], old_texts[word]
-        new = list(words - known.keys())
-        split = [self._split(word) for word in new]
-        found = self._encode_pieces(list({piece for pieces in split for piece in pieces}))
-        for word, pieces in zip(new, split, strict=True):
-            if len(pieces) == 1:
-                known[word], texts[word] = found[pieces[0]]
+        data, offsets = parts(words)
+        kind, lower = _KIND[data], _LOWER[data]
+        other = (data == _APOSTROPHE) | (data >= 0xC9)
+        two = np.flatnonzero((data >= 0xC2) & (data < 0xC9))  # first of two bytes
+        if len(two):
+            code = ((data[two].astype(np.int64) & 0x1F) << 6) | (data[two + 1] & 0x3F)
+            small = _LOWER[code]
+            kind[two] = kind[two + 1] = _KIND[code]
+            lower[two], lower[two + 1] = 0xC0 | (small >> 6), 0x80 | (small & 0x3F)
+            other[two] = _CHANGES[code]
+        begins = np.ones(len(data), bool)
+        begins[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _NUMBER)
+        begins[two + 1] = False
+        begins[offsets[:-1]] = True
+        starts = np.flatnonzero(begins)
+        counts = np.diff(np.searchsorted(starts, offsets))
+        pieces = strings(lower.astype(np.uint8), np.append(starts, len(data)))
+        left = np.unique(np.searchsorted(offsets, np.flatnonzero(other), "right") - 1)
+        if not len(left):
+            return pieces, np.cumsum(counts) - counts, counts
+        whole = np.ones(len(words), bool)
+        whole[left] = False
+        pieces = pieces.filter(pa.array(np.repeat(whole, counts)))
+        found = []
+        if len(self.others) > CACHED_OTHERS:
+            self.others = {}
+        for word in words.take(pa.array(left)).to_pylist():
+            split = self.others.get(word)
+            if split is None:
+                split = self.others[word] = self._other_pieces(word)
+            found.append(split)
+        counts[left] = 0
+        first = np.cumsum(counts) - counts
+        counts[left] = [len(split) for split in found]
+        first[left] = len(pieces) + np.cumsum(counts[left]) - counts[left]
+        more = pa.array([piece for split in found for piece in split], pa.binary())
+        return pa.concat_arrays([pieces, more]), first, counts
+
+    def _encode_new(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces, where each piece's begin, and how many they are."""
+        vocabulary = self.vocabulary
+        data, offsets = parts(pieces)
+        begins, sizes = offsets[:-1], np.diff(offsets)
+        starts, lengths, out, filled = np.zeros_like(sizes), np.zeros_like(sizes), [], 0
+        special = data[begins] == _SPECIAL
+        alone = np.flatnonzero((sizes > WIDEST) | special)
+        for at in alone.tolist():
+            values = data[begins[at] : begins[at] + sizes[at]]
+            if special[at]:
+                ids = [int(values[1:].tobytes())]
             else:
-                got = [found[piece] for piece in pieces]
-                known[word] = b"".join([x[0] for x in got])
-                texts[word] = " ".join([x[1] for x in got])
+                symbols = vocabulary.inner[values]
+                symbols[-1] = vocabulary.final[values[-1]]
+                ids = encode_long(symbols.tolist(), vocabulary)
+            starts[at], lengths[at] = filled, len(ids)
+            filled += len(ids)
+            out.append(np.array(ids, np.int32))
+        side = ~special
+        width = 2
+        while width <= WIDEST:
+            fits = side & (sizes <= width) & ((sizes > width // 2) | (width == 2))
+            every = np.flatnonzero(fits)
+            for run in range(0, len(every), SIDE_BY_SIDE):
+                rows = every[run : run + SIDE_BY_SIDE]
+                place, last = np.arange(width), sizes[rows] - 1
+                got = data[np.minimum(begins[rows, None] + place, len(data) - 1)]
+                symbols = vocabulary.inner[got]
+                each = np.arange(len(rows))
+                symbols[each, last] = vocabulary.final[got[each, last]]
+                symbols[place > last[:, None]] = -1
+                ids = encode_side_by_side(symbols, vocabulary)
+                kept = ids >= 0
+                lengths[rows] = kept.sum(axis=1)
+                ends = filled + np.cumsum(lengths[rows])
+                starts[rows] = ends - lengths[rows]
+                filled = int(ends[-1])
+                out.append(ids[kept].astype(np.int32))
+            width *= 2
+        return np.concatenate(out), starts, lengths
+
+    def _learn(self, pieces: pa.Array) -> np.ndarray:
+        """Where different pieces are among the known ones; new ones are encoded."""
+        at = pc.index_in(pieces, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        if not len(new):
+            return at
+        if len(self.known) + len(new) > CACHED_WORDS:
+            met = np.flatnonzero(at >= 0)
+            kept = at[met]
+            at[met] = np.arange(len(met))
+            self.known = self.known.take(pa.array(kept))
+            self.ids = self.ids[spread(self.starts[kept], self.lengths[kept])]
+            self.lengths = self.lengths[kept]
+            self.starts = np.cumsum(self.lengths) - self.lengths
+        unknown = pieces.take(pa.array(new))
+        ids, starts, lengths = self._encode_new(unknown)
+        at[new] = len(self.known) + np.arange(len(new))
+        self.known = pa.concat_arrays([self.known, unknown])
+        self.starts = np.concatenate([self.starts, starts + len(self.ids)])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, ids])
+        return at
+
+    def tokens(self, texts: list[bytes]) -> Tokens:
+        """Tokens of texts in UTF-8."""
+        words, first = self._words([utf8(text) for text in texts])
+        words = words.dictionary_encode()
+        pieces, starts, counts = self._pieces(words.dictionary)
+        pieces = pieces.dictionary_encode()
+        at = self._learn(pieces.dictionary)[pieces.indices.to_numpy()]
+        at = at[spread(starts, counts)]  # pieces of the different words, word by word
+        ids = self.ids[spread(self.starts[at], self.lengths[at])]
+        ends = np.concatenate([[0], np.cumsum(self.lengths[at])])[np.cumsum(counts)]
+        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+        met = words.indices.to_numpy()
+        lengths = (ends - starts)[met]
+        bounds = np.concatenate([[0], np.cumsum(lengths)])[first]
+        return Tokens(ids[spread(starts[met], lengths)], bounds, self.vocabulary)
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Ids (little-endian, 32 bits each) and decoded text of each text."""
-        special = self.vocabulary.special
-        parts = []
-        for text in texts:
-            pieces = [text]
-            if any(x in text for x in special):
-                pieces = self.vocabulary.splitter.split(text)
-            words = []
-            for piece in pieces:
-                if piece in special:
-                    words.append(piece)
-                elif any(x in piece for x in _ODD_SPACE):
-                    words += _WORDS.findall(piece)
-                else:
-                    words += piece.split()
-            parts.append(words)
-        self.learn(set().union(*parts) - special.keys())
-        for token, i in special.items():
-            self.ids[token], self.texts[token] = np.array([i], "<u4").tobytes(), token
-        ids, decoded = self.ids.__getitem__, self.texts.__getitem__
-        return [(b"".join(map(ids, words)), " ".join(map(decoded, words))) for words in parts]
+        found = self.tokens([text.encode() for text in texts])
+        return [(bytes(ids), str(decoded, "utf-8")) for ids, decoded in found]
 
 
 @lru_cache(maxsize=2)
@@ -288,12 +426,12 @@ def encode(text: Column, tokenizer: str = TOKENIZER) -> Column:
     @F.arrow_udf("ids array<int>, decoded string")
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = encoder(tokenizer)
-        kinds = {"ids": pa.list_(pa.int32()), "decoded": pa.string()}
         for column in columns:
             for batch in batches(column, TEXT_BYTES):  # handed over run by run
-                got = coder.encode([t.decode("utf-8", "replace") for t in batch])
-                ids = [np.frombuffer(data, "<i4") for data, _ in got]
-                yield struct_array({"ids": ids, "decoded": [text for _, text in got]}, kinds)
+                found = coder.tokens(batch)
+                ids = pa.ListArray.from_arrays(pa.array(found.bounds, pa.int32()), found.ids)
+                decoded = pa.array([text for _, text in found], pa.binary()).cast(pa.string())
+                yield pa.StructArray.from_arrays([ids, decoded], names=["ids", "decoded"])
 
     return run(F.coalesce(text, F.lit("")))
 
@@ -308,10 +446,10 @@ def digest(text: Column, tokenizer: str = TOKENIZER) -> Column:
         for column in columns:
             out = {name: [] for name in kinds}
             for batch in batches(column, TEXT_BYTES):
-                for ids, decoded in coder.encode([t.decode("utf-8", "replace") for t in batch]):
+                for ids, decoded in coder.tokens(batch):
                     out["n_tokens"].append(len(ids) // 4)
                     out["ids_sha256"].append(sha256(ids).hexdigest())
-                    out["decoded_sha256"].append(sha256(decoded.encode()).hexdigest())
+                    out["decoded_sha256"].append(sha256(decoded).hexdigest())
             yield struct_array(out, kinds)
 
     return run(F.coalesce(text, F.lit("")))

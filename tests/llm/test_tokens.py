@@ -114,3 +114,23 @@ def test_words_are_forgotten_and_learnt_again(monkeypatch, library):
     for text in texts:
         known = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(coder.encode([text])[0][0], "<u4").tolist() == known
+
+
+def test_pieces_are_encoded_once_in_whatever_words(monkeypatch, library):
+    coder, encoded, whole = bpe.encoder(bpe.TOKENIZER), [], bpe.encode_side_by_side
+
+    def counted(symbols, vocabulary):
+        encoded.append(len(symbols))
+        return whole(symbols, vocabulary)
+
+    monkeypatch.setattr(bpe, "encode_side_by_side", counted)
+    for text, pieces in [("alpha beta ( ) ,", 5), ("Alpha, (BETA) beta,alpha", 0), ("(gamma)", 1)]:
+        encoded.clear()
+        known = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(coder.encode([text])[0][0], "<u4").tolist() == known
+        assert sum(encoded) == pieces
+
+
+def test_special_tokens_between_pieces(library):
+    token = "<|endoftext|>"
+    check([f"a{token}b", f"{token}{token}", f"'s{token}'S It's　d'Été \x1c.{token} ½12", ""], library)
