@@ -225,6 +225,14 @@ class Tokens:
             end = self._from[i + 1] - (1 if len(ids) else 0)  # no space behind the last token
             yield ids, self._data[self._from[i] : end]
 
+    def array(self) -> pa.Array:
+        """A struct of ids and decoded text per text."""
+        ids = pa.ListArray.from_arrays(pa.array(self.bounds, pa.int32()), self.ids)
+        # Arrow never lets go of a memoryview that it makes an array from.
+        texts = [bytes(text) for _, text in self]
+        decoded = pa.array(texts, pa.binary()).cast(pa.string())
+        return pa.StructArray.from_arrays([ids, decoded], names=["ids", "decoded"])
+
 
 class Encoder:
     """Token ids and texts; pieces of words are kept as they come again.
@@ -428,10 +436,7 @@ def encode(text: Column, tokenizer: str = TOKENIZER) -> Column:
         coder = encoder(tokenizer)
         for column in columns:
             for batch in batches(column, TEXT_BYTES):  # handed over run by run
-                found = coder.tokens(batch)
-                ids = pa.ListArray.from_arrays(pa.array(found.bounds, pa.int32()), found.ids)
-                decoded = pa.array([text for _, text in found], pa.binary()).cast(pa.string())
-                yield pa.StructArray.from_arrays([ids, decoded], names=["ids", "decoded"])
+                yield coder.tokens(batch).array()
 
     return run(F.coalesce(text, F.lit("")))
 

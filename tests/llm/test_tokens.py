@@ -5,6 +5,7 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -134,3 +135,13 @@ def test_pieces_are_encoded_once_in_whatever_words(monkeypatch, library):
 def test_special_tokens_between_pieces(library):
     token = "<|endoftext|>"
     check([f"a{token}b", f"{token}{token}", f"'s{token}'S It's　d'Été \x1c.{token} ½12", ""], library)
+
+
+def test_encoded_texts_are_let_go():
+    coder = bpe.encoder(bpe.TOKENIZER)
+    texts = [b"alpha beta gamma " * 1000] * 20
+    coder.tokens(texts).array()
+    before = pa.total_allocated_bytes()
+    for _ in range(5):
+        assert len(coder.tokens(texts).array()) == 20
+    assert pa.total_allocated_bytes() - before < 100_000
