@@ -437,6 +437,7 @@ def encode(text: Column, tokenizer: str = TOKENIZER) -> Column:
         for column in columns:
             for batch in batches(column, TEXT_BYTES):  # handed over run by run
                 yield coder.tokens(batch).array()
+        pa.default_memory_pool().release_unused()  # a worker outlives its tasks
 
     return run(F.coalesce(text, F.lit("")))
 
@@ -456,6 +457,7 @@ def digest(text: Column, tokenizer: str = TOKENIZER) -> Column:
                     out["ids_sha256"].append(sha256(ids).hexdigest())
                     out["decoded_sha256"].append(sha256(decoded).hexdigest())
             yield struct_array(out, kinds)
+        pa.default_memory_pool().release_unused()
 
     return run(F.coalesce(text, F.lit("")))
 
